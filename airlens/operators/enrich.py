@@ -67,9 +67,10 @@ def add_who_flags(df: DataFrame, limits: Mapping[str, float] = C.WHO_LIMITS) ->
     })
 
 
-def enrich(df: DataFrame, buckets: bool = True, who_flags: bool = True) -> DataFrame:
+def enrich(df: DataFrame, buckets: bool = True, who_flags: bool = True,
+           southern: Sequence[str] = tuple(C.SOUTHERN_CITIES)) -> DataFrame:
     """Everything above on a cleaned reading."""
-    df = df.transform(with_event_date).transform(add_calendar).transform(add_season)
+    df = df.transform(with_event_date).transform(add_calendar).transform(add_season, southern)
     df = df.withColumns({"pm_ratio": pm_ratio(), "aqi_category": aqi_category()})
     if buckets:
         df = df.transform(add_buckets)

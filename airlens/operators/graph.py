@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from airlens import config as C
 from airlens.functions import stable_round
 from airlens.operators.clean import first_per_key
+from airlens.shared import materialized
 
 CITY, READING = ["country", "city"], ["country", "city", "event_date"]
 _FLAGS = [f"{C.short(p)}_exceeds_who" for p in C.POLLUTANTS]
@@ -32,23 +33,30 @@ ATTRIBUTES = {
 POLLUTANT_ORDER = ["pm25", "pm10", "no2", "o3", "so2", "co"]
 
 
-def build_graph(df: DataFrame, order_by: Sequence[str]) -> dict[str, DataFrame]:
+def build_graph(df: DataFrame, order_by: Sequence[str], stage: str | None = None) -> dict[str, DataFrame]:
     """Node and edge tables by name, and ``rejects``: readings with a missing key.
 
-    Attributes of a node come from the first reading with its key, in ``order_by`` order. Tables
-    that a city or a day with very many readings feeds are reduced before the shuffle.
+    Attributes of a node come from the first reading with its key, in ``order_by`` order. The first
+    reading of a city or of a day is also the first of its own key, so all nodes come from one
+    reduced table; a city or a day with very many readings is cut down before any shuffle. With
+    ``stage``, a path, this table and the category links are written there once and read back: for
+    storing the whole graph.
     """
     complete = reduce(Column.__and__, [F.col(c).isNotNull() for c in [*READING, "aqi_category"]])
     good = df.filter(complete)
-    nodes = {name: first_per_key(good.select(*dict.fromkeys([*KEYS[name], *extra, *order_by])),
-                                 KEYS[name], order_by).select(*KEYS[name], *extra)
-             for name, extra in ATTRIBUTES.items()}
-    keys = nodes["reading"].select(*READING)
+    columns = dict.fromkeys([*order_by, *READING, *[c for extra in ATTRIBUTES.values() for c in extra]])
+    firsts = first_per_key(good.select(*columns), READING, order_by)
+    links = good.select(*KEYS["has_category"]).distinct()
+    if stage:
+        firsts, links = materialized(firsts, f"{stage}/firsts"), materialized(links, f"{stage}/links")
+    nodes = {
+        name: (firsts if KEYS[name] == READING else first_per_key(firsts, KEYS[name], order_by))
+        .select(*KEYS[name], *extra) for name, extra in ATTRIBUTES.items()}
+    keys = firsts.select(*READING)
     return {
         **nodes,
-        "category": good.select("aqi_category").distinct(),
-        "has_reading": keys, "on_day": keys, "has_compliant": keys,
-        "has_category": good.select(*KEYS["has_category"]).distinct(),
+        "category": links.select("aqi_category").distinct(),
+        "has_reading": keys, "on_day": keys, "has_compliant": keys, "has_category": links,
         "rejects": df.filter(~complete),
     }
 
