@@ -12,13 +12,23 @@ def is_number(value: Column) -> Column:
     return value.isNotNull() & ~F.isnan(value)
 
 
+def to_double(text: Column) -> Column:
+    """``try_cast`` to double for text that often is no number.
+
+    A failed cast is an exception inside Spark; text with a character no number has is sorted out
+    by a cheap test first.
+    """
+    return F.when(text.rlike(r"^[\s\d+\-.eEdDfFxXpPaAnNiItTyY]+$"), text.try_cast("double"))
+
+
 def clean_number(text: Column, sentinels: Sequence[str] = tuple(C.NUMBER_SENTINELS)) -> Column:
     """Double from a messy cell: a sentinel is NULL, other symbols are stripped, the rest is cast.
 
     What is left after stripping and still is no number (``"1-2"``) becomes NULL.
     """
     digits = F.regexp_replace(text, r"[^0-9+\-.]", "")
-    return F.when(~F.trim(text).isin(*sentinels), digits).try_cast("double")
+    number = F.when(digits.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)$"), digits.try_cast("double"))
+    return F.when(~F.trim(text).isin(*sentinels), number)
 
 
 def first_match(cases: Sequence[tuple[Column, Column]], default: Column | None = None) -> Column:

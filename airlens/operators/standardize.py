@@ -3,9 +3,10 @@
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 from airlens import config as C
-from airlens.functions import clean_number, norm_city, norm_country, parse_ts
+from airlens.functions import clean_number, norm_city, norm_country, parse_ts, to_double
 
 _FOLDS = str.maketrans({
     "µ": "u", "μ": "u", "³": "3", "°": "deg",
@@ -48,9 +49,14 @@ def short_names(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({raw: brief for raw, (_, brief) in C.HEADERS.items()})
 
 
+def _double(df: DataFrame, name: str):
+    column = F.col(f"`{name}`")
+    return to_double(column) if isinstance(df.schema[name].dataType, StringType) else column.try_cast("double")
+
+
 def cast_numbers(df: DataFrame, columns=tuple(C.MEASUREMENTS)) -> DataFrame:
     """Measurements as doubles; text that is no number becomes NULL."""
-    return df.withColumns({c: F.col(c).try_cast("double") for c in columns if c in df.columns})
+    return df.withColumns({c: _double(df, c) for c in columns if c in df.columns})
 
 
 def clean_numbers(df: DataFrame, columns) -> DataFrame:
@@ -74,6 +80,5 @@ def standardize(df: DataFrame) -> DataFrame:
     rest = [c for c in df.columns if c not in derived and c not in kept and c not in made]
     return df.select(
         *front, *kept,
-        *[F.col(f"`{c}`").try_cast("double").alias(c) if c in numbers else F.col(f"`{c}`")
-          for c in rest],
+        *[_double(df, c).alias(c) if c in numbers else F.col(f"`{c}`") for c in rest],
     )

@@ -55,7 +55,8 @@ def add_is_valid(df: DataFrame) -> DataFrame:
 def error_codes() -> Column:
     """Codes of the checks that fail, in order. A check that is NULL raises none."""
     marks = [F.when(~condition, F.lit(code)) for code, condition in checks()]
-    return F.array_compact(F.array(*marks))
+    text = F.concat_ws(",", *marks)      # leaves NULLs out, and unlike a filter over an array compiles
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ","))
 
 
 def error_message() -> Column:

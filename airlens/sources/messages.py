@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from airlens import schema as S
+from airlens.functions import to_double
 from airlens.operators.standardize import clean_numbers, short_names
 
 _END = "\u0001"
@@ -44,7 +45,7 @@ def decode_typed(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """
     numbers = {f.name for f in S.TYPED if isinstance(f.dataType, T.DoubleType)}
     return decode_raw(df, keep).select(*keep, *[
-        F.col(f"`{c}`").try_cast("double").alias(c) if c in numbers else F.col(f"`{c}`")
+        to_double(F.col(f"`{c}`")).alias(c) if c in numbers else F.col(f"`{c}`")
         for c in S.RAW.names])
 
 
