@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from airlens import config as C
 from airlens.operators import clean, enrich, impute, standardize, validate
-from airlens.shared import materialized, scratch_path
+from airlens.shared import discard, materialized, scratch_path
 from airlens.sinks import write_validated
 from airlens.sources import read_jsonl
 from airlens import schema as S
@@ -46,8 +46,10 @@ def run_cleaning(spark: SparkSession, source: str, base: str, approx: bool = Fal
     """
     raw = standardize.standardize(reader(spark, source, schema))
     raw = raw.withColumn("_line", F.monotonically_increasing_id())
-    staged = materialized(raw, scratch_path(spark, "standardised"))
-    cleaned = clean_readings(staged, ["_line"], approx=approx).drop("_line")
-    cleaned = materialized(cleaned, scratch_path(spark, "cleaned"))
+    stage = scratch_path(spark, "cleaning")
+    lines = materialized(raw, f"{stage}/lines")
+    cleaned = clean_readings(lines, ["_line"], approx=approx, stage=f"{stage}/guarded").drop("_line")
+    cleaned = materialized(cleaned, f"{stage}/cleaned")
     valid, _, labeled = validate.split_valid(cleaned)
     write_validated(valid.drop(C.CORRUPT), labeled, base, partition_by)
+    discard(spark, stage)

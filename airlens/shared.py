@@ -38,3 +38,9 @@ def materialized(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` as parquet and read it back: a cut that later steps scan column by column."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library wrote for passing use."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from airlens.operators.clean import first_per_key
+from airlens.shared import discard
 
 EVERY_10_SECONDS = {"processingTime": "10 seconds"}
 
@@ -58,14 +59,17 @@ def to_raw_csv(df: DataFrame, path: str, checkpoint: str, trigger: dict | None =
 
 
 def to_snapshot(df: DataFrame, path: str, checkpoint: str, mode: str = "complete",
-                trigger: dict | None = None) -> StreamingQuery:
+                trigger: dict | None = None, keep: int = 3) -> StreamingQuery:
     """Parquet per micro-batch at ``batch_id=``; :func:`read_snapshot` gives the current result.
 
-    ``complete`` rewrites the whole result each time. ``update`` writes changed rows only and
-    ``append`` closed windows only: the choice for results that grow.
+    ``complete`` rewrites the whole result each time and leaves the last ``keep`` of them.
+    ``update`` writes changed rows only and ``append`` closed windows only: the choice for results
+    that grow.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        if mode == "complete" and batch_id >= keep:
+            discard(batch.sparkSession, f"{path}/batch_id={batch_id - keep}")
 
     return _start(df.writeStream.outputMode(mode).foreachBatch(write), trigger, checkpoint)
 

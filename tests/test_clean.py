@@ -113,7 +113,7 @@ def test_exact_medians_match_brute_force(spark):
     rows = []
     for i in range(3000):
         city = rng.choice(["hot"] * 6 + ["b", "c", "d", None])
-        a = rng.choice([None, rng.gauss(0, 1), rng.gauss(50, 10), 1e12, -1e12, 0.0, 7.5])
+        a = rng.choice([None, rng.gauss(0, 1), rng.gauss(50, 10), 1e12, -1e12, float("inf"), float("-inf"), 0.0, 7.5])
         rows.append((rng.choice(["X", "X", "Y", None]), city, a, None if city == "c" else 4.0, rng.gauss(1e-6, 1e-9)))
     df = spark.createDataFrame(rows, "country string, city string, a double, b double, c double").repartition(6)
     got = {(r["level"], r["country"], r["city"], r["var"]): r["median"]
@@ -128,6 +128,12 @@ def test_exact_medians_match_brute_force(spark):
     assert got == want
 
 
+def test_medians_treat_nan_as_largest(spark):
+    df = spark.createDataFrame([("X", "a", v) for v in (float("nan"), float("inf"), 1.0, float("nan"), 2.0)],
+                               "country string, city string, v double")
+    assert {r["median"] for r in impute.level_medians(df, ["v"]).collect()} == {float("inf")}
+
+
 @pytest.mark.parametrize("approx", [False, True])
 def test_impute_median_falls_back_level_by_level(spark, approx):
     rows = [("A", "x", 1.0), ("A", "x", 3.0), ("A", "x", None), ("A", "y", None), ("B", "z", None),

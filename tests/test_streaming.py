@@ -64,7 +64,7 @@ def test_complete_equals_batch(spark, feed, tmp_path, aggregate):
     run(sinks.to_snapshot(aggregate(stream_json(spark, feed)), f"{out}/d", f"{out}/c", "complete", ALL))
     got = sinks.read_snapshot(spark, f"{out}/d")
     assert tuples(got) == tuples(aggregate(table(spark, feed)))
-    assert len([d for d in os.listdir(f"{out}/d") if d.startswith("batch_id=")]) >= 6
+    assert len([d for d in os.listdir(f"{out}/d") if d.startswith("batch_id=")]) == 3
 
 
 def test_append_drops_late_rows_and_open_windows(spark, feed, tmp_path):
