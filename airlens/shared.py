@@ -25,17 +25,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/airlens/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint, for small tables that several branches of a plan read."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
-
-
 def materialized(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` as parquet and read it back: a cut that later steps scan column by column."""
+    """Write ``df`` as parquet and read it back: a cut that later steps scan column by column.
+
+    Unlike a checkpoint, the table has a known size, so joins with a small one are planned as
+    broadcasts from the start instead of after the large side has been shuffled.
+    """
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
