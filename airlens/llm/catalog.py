@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airlens.llm import host_rules
+from airlens.llm import host_rules, license_scan
 from airlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,35 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 O
 FROM f JOIN b ON f.source = b.source""")
 def op1(spark, sf):
     return host_rules.judge(table(spark, sf, "documents"))
+
+
+def _license_sql() -> str:
+    words = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    templates = ", ".join(
+        f"({number}, '{label}', {sorted(set(license_scan.plain_tokens(text)))!r})"
+        for number, (label, text) in enumerate(license_scan.TEMPLATES))
+    cases = " ".join(
+        "WHEN " + " AND ".join(f"w[i + {k}] = '{part}'" for k, part in enumerate(phrase.split())) + f" THEN '{label}'"
+        for phrase, label in license_scan.PHRASES.items())
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {words.format("coalesce(text, '')")} AS w FROM documents),
+i AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+p AS (SELECT doc_id, i - 1 AS start, CASE {cases} END AS label FROM i),
+b AS (SELECT doc_id, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word,
+    list_sort(list(DISTINCT label)) AS l FROM p WHERE label IS NOT NULL GROUP BY doc_id),
+t(template, label, held) AS (VALUES {templates}),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d),
+blocks AS (SELECT doc_id, {words.format("line")} AS w FROM lines WHERE regexp_matches(line, '(?i)licen|permi|source|redistr')),
+m AS (SELECT doc_id, label, len(list_intersect(held, w)) / len(held) AS c FROM blocks, t
+  WHERE len(list_intersect(held, w)) >= ceil({license_scan.CONTAINMENT} * len(held) - 1e-9)),
+f AS (SELECT doc_id, list(DISTINCT label) AS l, max(c) AS c FROM m GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, first_word, last_word,
+  coalesce(array_to_string(b.l, ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.l, []), coalesce(f.l, [])))), ','), '') AS labels,
+  coalesce(f.c, CASE WHEN n_base > 0 THEN {license_scan.PHRASE_SCORE} END, 0.0) AS score
+FROM d LEFT JOIN b USING (doc_id) LEFT JOIN f USING (doc_id)"""
+
+
+@query("op9_license_scan", _license_sql())
+def op9(spark, sf):
+    return license_scan.scan(table(spark, sf, "documents"))
