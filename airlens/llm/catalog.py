@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airlens.llm import host_rules, license_scan
+from airlens.llm import decontaminate, host_rules, license_scan
 from airlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,30 @@ FROM d LEFT JOIN b USING (doc_id) LEFT JOIN f USING (doc_id)"""
 @query("op9_license_scan", _license_sql())
 def op9(spark, sf):
     return license_scan.scan(table(spark, sf, "documents"))
+
+
+@query("op10_decontaminate", """
+WITH i AS (SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(text), '[ \\t-\\r]+'), lambda x: x <> '') AS w FROM benchmark),
+d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[ \\t-\\r]+'), lambda x: x <> '') AS w FROM documents),
+gi AS (SELECT item_id, len(w) - 4 AS n, list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' ')) AS s FROM i WHERE len(w) >= 5),
+gd AS (SELECT doc_id, list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' ')) AS s FROM d WHERE len(w) >= 5),
+total AS (SELECT count(*) AS items FROM gi),
+ei AS (SELECT item_id, n, unnest(s) AS g, unnest(range(len(s))) AS at FROM gi),
+weight AS (SELECT g, ln(1 + (SELECT items FROM total) / count(DISTINCT item_id)) AS w FROM ei GROUP BY g),
+ed AS (SELECT doc_id, unnest(s) AS g, unnest(range(len(s))) AS at, len(s) AS size FROM gd),
+place AS (SELECT DISTINCT doc_id, n, greatest(0, least(ed.at - ei.at, size - n)) AS start FROM ed JOIN ei USING (g)),
+pair AS (SELECT p.doc_id, item_id, p.n, start, gd.s[start + 1:start + p.n] AS win, gi.s
+  FROM place p JOIN gd USING (doc_id) JOIN gi ON gi.n = p.n
+  WHERE len(list_intersect(gd.s[start + 1:start + p.n], gi.s)) > 0),
+a AS (SELECT doc_id, item_id, n, start, g, count(*) AS a FROM (SELECT doc_id, item_id, n, start, unnest(win) AS g FROM pair) GROUP BY ALL),
+b AS (SELECT item_id, g, count(*) AS b FROM ei GROUP BY ALL),
+bt AS (SELECT item_id, sum(b * w) AS total FROM b JOIN weight USING (g) GROUP BY item_id),
+m AS (SELECT a.doc_id, a.item_id, a.n, start, sum(least(a, coalesce(b, 0)) * coalesce(w, 0)) AS both_sides,
+    sum(a - least(a, coalesce(b, 0))) AS extra
+  FROM a LEFT JOIN b ON a.item_id = b.item_id AND a.g = b.g LEFT JOIN weight ON weight.g = b.g GROUP BY ALL),
+v AS (SELECT doc_id, item_id, n, start, round(both_sides / (total + extra * ln(1 + (SELECT items FROM total))), 9) AS similarity
+  FROM m JOIN bt USING (item_id))
+SELECT doc_id, item_id, max(similarity) AS similarity, count(*) AS n_windows, CAST(min(start) AS BIGINT) AS first_word
+FROM v WHERE similarity >= 0.8 GROUP BY doc_id, item_id""")
+def op10(spark, sf):
+    return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
