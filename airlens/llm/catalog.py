@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airlens.llm import decontaminate, host_rules, license_scan
+from airlens.llm import decontaminate, host_rules, license_scan, packing, warc
 from airlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,37 @@ SELECT doc_id, item_id, max(similarity) AS similarity, count(*) AS n_windows, CA
 FROM v WHERE similarity >= 0.8 GROUP BY doc_id, item_id""")
 def op10(spark, sf):
     return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op6_length_buckets")
+def op6(spark, sf):
+    return packing.pack(table(spark, sf, "documents"))
+
+
+CRAWLED = "2024-01-01T00:00:00Z"
+
+
+def _warc_sql() -> str:
+    text = "payload"
+    for pattern, by in warc.DROPPED:
+        text = f"regexp_replace({text}, '{pattern}', {'chr(10)' if by == chr(10) else repr(by)}, 'g')"
+    for entity, char in warc.ENTITIES:
+        text = f"replace({text}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
+    text = f"regexp_replace({text}, '[ \\t\\r]+', ' ', 'g')"
+    text = f"regexp_replace(regexp_replace({text}, ' ?\\n[ \\n]*', chr(10), 'g'), '^[ \\n]+|[ \\n]+$', '', 'g')"
+    uuid = lambda e: (f"'<urn:uuid:' || substr(md5({e}), 1, 8) || '-' || substr(md5({e}), 9, 4) || '-' || substr(md5({e}), 13, 4) "
+                      f"|| '-' || substr(md5({e}), 17, 4) || '-' || substr(md5({e}), 21, 12) || '>'")
+    return f"""
+WITH p AS (SELECT coalesce(url, '') AS url, url AS target_uri, coalesce(html, '') AS payload FROM pages),
+r AS (SELECT *, {uuid(f"'response' || chr(10) || url || chr(10) || '{CRAWLED}'")} AS id, 'sha256:' || sha256(payload) AS pd, {text} AS t FROM p),
+m AS (SELECT *, 'metadata' AS warc_type, 'application/warc-fields' AS content_type,
+    'http-status: 200' || chr(13) || chr(10) || 'http-content-type: text/html' || chr(13) || chr(10) || 'payload-length: ' || strlen(payload)
+    || chr(13) || chr(10) || 'payload-digest: ' || pd || chr(13) || chr(10) || 'text-length: ' || strlen(t) || chr(13) || chr(10) AS block FROM r
+  UNION ALL SELECT *, 'conversion', 'text/plain; charset=utf-8', t FROM r)
+SELECT warc_type, {uuid("warc_type || chr(10) || id")} AS record_id, id AS refers_to, target_uri, '{CRAWLED}' AS warc_date, content_type,
+  'sha256:' || sha256(block) AS block_digest, pd AS payload_digest, 'WARC-IP-Address: 192.0.2.1' AS headers, block FROM m"""
+
+
+@query("op5_warc_derivatives", _warc_sql())
+def op5(spark, sf):
+    return warc.derive(warc.responses(table(spark, sf, "pages"), CRAWLED))
