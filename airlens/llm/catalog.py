@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airlens.llm import decontaminate, host_rules, license_scan, packing, warc
+from airlens.llm import decontaminate, host_rules, license_scan, packing, simhash_dedup, warc
 from airlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +140,8 @@ SELECT warc_type, {uuid("warc_type || chr(10) || id")} AS record_id, id AS refer
 @query("op5_warc_derivatives", _warc_sql())
 def op5(spark, sf):
     return warc.derive(warc.responses(table(spark, sf, "pages"), CRAWLED))
+
+
+@query("op4_simhash")
+def op4(spark, sf):
+    return simhash_dedup.near_duplicates(table(spark, sf, "documents"))
