@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airlens.llm import decontaminate, host_rules, license_scan, packing, simhash_dedup, warc
+from airlens.llm import decontaminate, host_rules, license_scan, packing, simhash_dedup, toxicity, warc
 from airlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +145,8 @@ def op5(spark, sf):
 @query("op4_simhash")
 def op4(spark, sf):
     return simhash_dedup.near_duplicates(table(spark, sf, "documents"))
+
+
+@query("op7_toxicity")
+def op7(spark, sf):
+    return toxicity.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
