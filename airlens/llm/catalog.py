@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airlens.llm import decontaminate, host_rules, license_scan, packing, simhash_dedup, toxicity, warc
+from airlens.llm import decontaminate, host_rules, html_extract, license_scan, packing, simhash_dedup, toxicity, warc
 from airlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,3 +150,8 @@ def op4(spark, sf):
 @query("op7_toxicity")
 def op7(spark, sf):
     return toxicity.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op2_html_main_text")
+def op2(spark, sf):
+    return html_extract.extract(table(spark, sf, "pages"))
