@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airlens.llm import decontaminate, host_rules, html_extract, license_scan, packing, simhash_dedup, toxicity, warc
+from airlens.llm import decontaminate, host_rules, html_extract, license_scan, packing, simhash_dedup, suffix_dedup, toxicity, warc
 from airlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,3 +155,8 @@ def op7(spark, sf):
 @query("op2_html_main_text")
 def op2(spark, sf):
     return html_extract.extract(table(spark, sf, "pages"))
+
+
+@query("op3_suffix_dedup")
+def op3(spark, sf):
+    return suffix_dedup.dedup(table(spark, sf, "documents"))
