@@ -8,7 +8,8 @@ as the data allow. How many candidates part i costs at threshold t is estimated
 that agree on it are counted, and the count is scaled by the chance that independent bits with these means
 differ in at most t places. Dynamic programming deals the r + 1 units to parts; the number of parts is
 chosen by the same cost. Every row is indexed by its parts and probes them with all values within t_i, and
-candidates are verified by their full distance inside the join.
+candidates are verified by their full distance inside the join. Radii 1, 2 .. r are taken in turn, so that a dense
+group is one component before its wider links are looked for.
 
 Defined cases: a null or empty text has fingerprint zero and links like any other; texts of fewer words than a
 shingle are one shingle; repeated rows return one row each; rows without doc_id take part in links but not
@@ -136,8 +137,8 @@ def masks(part: list[int], most: int) -> list[int]:
     return [sum(1 << b for b in bits) for k in range(most + 1) for bits in itertools.combinations(part, k)]
 
 
-def plan(fps: DataFrame, radius: int) -> list[tuple[list[int], int]]:
-    """(bits, threshold) of each part that is probed."""
+def statistics(fps: DataFrame) -> tuple[int, np.ndarray, dict, dict]:
+    """Number of fingerprints, bit means, parts by their number, and pairs that agree on a part by (number, part)."""
     n, both = bit_counts(fps)
     choices = {m: parts_of(n, both, m) for m in PARTS}
     flat = [(m, k, part) for m, parts in choices.items() for k, part in enumerate(parts)]
@@ -145,40 +146,54 @@ def plan(fps: DataFrame, radius: int) -> list[tuple[list[int], int]]:
         F.struct(F.lit(m).alias("m"), F.lit(k).alias("k"), value_of(part).alias("v")) for m, k, part in flat])).alias("x"))
     same = {(r["m"], r["k"]): float(r["pairs"] or 0) for r in values.groupBy("x").count()
             .groupBy("x.m", "x.k").agg((F.sum(F.col("count").cast("double") * (F.col("count") - 1))).alias("pairs")).collect()}
-    mean, best = np.diag(both) / max(1, n), None
+    return n, np.diag(both) / max(1, n), choices, same
+
+
+def plan(known: tuple[int, np.ndarray, dict, dict], radius: int) -> list[tuple[list[int], int]]:
+    """(bits, threshold) of each part that is probed."""
+    n, mean, choices, same = known
+    best = None
     for m, parts in choices.items():
         costs = []
         for k, part in enumerate(parts):
             chance = near_chances(mean, part, radius)
             pairs = max(same.get((m, k), 0.0), n * n * chance[0])
-            costs.append([0.0] + [pairs * chance[t] / chance[0] + PROBE_COST * n * sum(math.comb(len(part), j) for j in range(t + 1))
+            costs.append([0.0] + [pairs * chance[t] / max(chance[0], 1e-300) + PROBE_COST * n * sum(math.comb(len(part), j) for j in range(t + 1))
                                   for t in range(min(radius, 2) + 1)])
-        if (radius + 1) <= 3 * m:
+        if radius + 1 <= 3 * m:
             cost, thresholds = allocate(costs, radius + 1)
             if best is None or cost < best[0]:
                 best = (cost, [(p, t) for p, t in zip(parts, thresholds, strict=True) if t >= 0])
     return best[1]
 
 
-def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``a, b``: pairs of different fingerprints within ``radius``, a < b, of the distinct column ``fp``."""
-    chosen = plan(fps, radius)
-    key = lambda k, v: F.struct(F.lit(k).alias("k"), v.alias("v"))
-    index = fps.select(F.col("fp").alias("a"), F.explode(F.array(*[
-        key(k, value_of(part)) for k, (part, _) in enumerate(chosen)])).alias("x"))
-    probes = None
-    for k, (part, most) in enumerate(chosen):
-        bits = sum(1 << b for b in part)
-        signed = lambda x: x - (1 << 64) if x >> 63 else x
-        flips = F.explode(F.array(*[F.lit(signed(m)).cast("long") for m in masks(part, most)]))
-        one = fps.select("fp", flips.alias("m")).select(
-            F.col("fp").alias("b"), key(k, F.col("fp").bitwiseXOR(F.col("m")).bitwiseAND(F.lit(signed(bits)).cast("long"))).alias("x"))
-        probes = one if probes is None else probes.unionByName(one)
-    flat = lambda df, c: df.select(c, F.col("x.k").alias("k"), F.col("x.v").alias("v"))
-    i, p = flat(index, "a"), flat(probes, "b")
-    near = (i["k"] == p["k"]) & (i["v"] == p["v"]) & (i["a"] < p["b"]) & (
-        F.bit_count(i["a"].bitwiseXOR(p["b"])) <= radius)
-    return i.join(p, near).select("a", "b").distinct()
+def links(nodes: DataFrame, chosen: list[tuple[list[int], int]], radius: int) -> DataFrame:
+    """``a, b``: pairs of labels, a < b, that have fingerprints within ``radius``; ``nodes`` is ``fp, label``."""
+    one = lambda k, mask: F.struct(F.lit(k).alias("k"), mask.alias("v"))
+    index = nodes.select("fp", "label", F.explode(F.array(*[
+        one(k, value_of(part)) for k, (part, _) in enumerate(chosen)])).alias("x"))
+    index = index.select(F.col("fp").alias("f"), F.col("label").alias("a"), F.col("x.k").alias("k"), F.col("x.v").alias("v"))
+    probes = nodes.select("fp", "label", F.explode(F.array(*[
+        one(k, value_of(part, mask)) for k, (part, most) in enumerate(chosen) for mask in masks(part, most)])).alias("x"))
+    probes = probes.select(F.col("fp").alias("g"), F.col("label").alias("b"), F.col("x.k").alias("k"), F.col("x.v").alias("v"))
+    near = ((index["k"] == probes["k"]) & (index["v"] == probes["v"]) & (index["a"] < probes["b"])
+            & (F.bit_count(index["f"].bitwiseXOR(probes["g"])) <= radius))
+    return index.join(probes, near).select("a", "b").distinct()
+
+
+def clusters(fps: DataFrame, radius: int) -> DataFrame:
+    """``fp, label``: the smallest fingerprint reachable by steps of at most ``radius``, of the distinct column ``fp``.
+
+    Radii are taken in turn, from 1 up, and what one radius has joined is not joined again by the next: a dense group of
+    near copies becomes one label by its closest pairs, and does not make all its pairs.
+    """
+    known = statistics(fps)
+    nodes = fps.select("fp", F.col("fp").alias("label"))
+    for step in range(1, radius + 1):
+        joined = components(links(nodes, plan(known, step), step)).withColumnsRenamed({"node": "_node", "label": "_label"})
+        nodes = cut(nodes.join(joined, nodes["label"] == joined["_node"], "left")
+                    .select("fp", F.coalesce("_label", "label").alias("label")))
+    return nodes
 
 
 def components(pairs: DataFrame) -> DataFrame:
@@ -205,9 +220,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """``doc_id, fingerprint, component_id`` of every row."""
     found = cut(fingerprints(docs))
     nodes = cut(found.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    label = components(links(nodes, radius))
-    named = nodes.join(label, nodes["fp"] == label["node"], "left").select(
-        "fp", "first", F.coalesce("label", "fp").alias("label"))
+    named = nodes.join(clusters(nodes.select("fp"), radius), "fp")
     smallest = named.groupBy("label").agg(F.min("first").alias("component_id"))
     members = named.select("fp", "label").join(smallest, "label").select("fp", "component_id")
     return found.join(members, "fp").select(
