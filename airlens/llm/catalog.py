@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airlens.llm import decontaminate, host_rules, html_extract, license_scan, packing, simhash_dedup, suffix_dedup, toxicity, warc
+from airlens.llm import attention_lm, decontaminate, host_rules, html_extract, license_scan, packing, simhash_dedup, suffix_dedup, toxicity, warc
 from airlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,3 +160,8 @@ def op2(spark, sf):
 @query("op3_suffix_dedup")
 def op3(spark, sf):
     return suffix_dedup.dedup(table(spark, sf, "documents"))
+
+
+@query("op8_attention_lm")
+def op8(spark, sf):
+    return attention_lm.score(table(spark, sf, "documents"))
