@@ -33,6 +33,8 @@ MAX_FEATURES = 16_384
 MAX_EXAMPLES = 20_000
 NEIGHBOURS = 25
 BLOCK = 64
+#: blocks a search visits one by one before it reads the remaining lists whole
+MOST_BLOCKS = 4
 #: weight of the prior in a vote
 PRIOR_WEIGHT = 0.25
 THRESHOLD = 0.7
@@ -42,16 +44,34 @@ MOST_BROADCAST = 2_000_000
 _WORD = re.compile(r"\w+")
 
 
-def terms(text: str | None) -> Counter:
-    """Counts of words and, marked by a star, of the different words a prefix has; ``term=2`` if counted twice or more."""
+def terms(text: str | None, wanted: "Wanted | None" = None) -> Counter:
+    """Counts of words and, marked by a star, of the different words a prefix has; ``term=2`` if counted twice or more.
+
+    With ``wanted``, only terms that it may hold: the others are skipped as early as can be.
+    """
     found = Counter(_WORD.findall((text or "").lower()))
-    prefixes = Counter(word[:size] for word in found for size in PREFIXES if len(word) >= size)
+    if wanted is None:
+        prefixes = Counter([word[:size] for word in found for size in PREFIXES if len(word) >= size])
+    else:
+        prefixes = Counter([word[:size] for word in found if word[:PREFIXES[0]] in wanted.starts
+                            for size in PREFIXES if len(word) >= size])
+        found = Counter({word: n for word, n in found.items() if word in wanted.words})
     found.update({f"{prefix}*": n for prefix, n in prefixes.items()})
-    for level in LEVELS:
-        found.update({f"{t}={level}": 1 for t, n in found.items() if n >= level and "=" not in t})
+    often = [(t, n) for t, n in found.items() if n >= LEVELS[0]]
+    found.update({f"{t}={level}": 1 for t, n in often for level in LEVELS if n >= level})
     return found
 
 
+class Wanted:
+    """Features by term, and what a text must hold for any of them to occur."""
+
+    def __init__(self, idf: dict[str, float]):
+        self.weights = {t: (f, w) for f, (t, w) in enumerate(idf.items())}
+        bare = {t.rpartition("=")[0] or t for t in idf}
+        self.words = {t for t in bare if not t.endswith("*")}
+        self.starts = {t[:PREFIXES[0]] for t in bare if t.endswith("*")}
+
+
 def held_out(doc_id):
     return F.coalesce(crc_mod(doc_id, FOLDS) == HELD_OUT, F.lit(False))
 
@@ -101,9 +121,10 @@ def choose_terms(counts: DataFrame, max_features: int) -> tuple[dict[str, float]
     return {r["term"]: math.log((1 + n) / (1 + r["a"] + r["b"])) + 1 for r in best}, n1, n0
 
 
-def vector(text: str | None, weights: dict[str, tuple[int, float]]) -> tuple[np.ndarray, np.ndarray]:
+def vector(text: str | None, wanted: Wanted) -> tuple[np.ndarray, np.ndarray]:
     """Feature numbers, ascending, and unit-length TF-IDF weights."""
-    found = sorted((weights[t][0], (1 + math.log(n)) * weights[t][1]) for t, n in terms(text).items() if t in weights)
+    weights = wanted.weights
+    found = sorted((weights[t][0], (1 + math.log(n)) * weights[t][1]) for t, n in terms(text, wanted).items() if t in weights)
     at = np.array([f for f, _ in found], dtype=np.int32)
     w = np.array([x for _, x in found])
     return at, w / np.sqrt((w * w).sum()) if len(w) else w
@@ -113,8 +134,8 @@ class Index:
     """Inverted index of unit vectors with the greatest weight of each term in each block of examples."""
 
     def __init__(self, ids: list[int], labels: list[int], vectors: list[tuple[np.ndarray, np.ndarray]]):
-        # examples of the same strongest term side by side, so that bounds of blocks are tight
-        order = sorted(range(len(ids)), key=lambda i: (int(vectors[i][0][vectors[i][1].argmax()]), ids[i]))
+        # examples with the same strongest terms side by side, so that bounds of blocks are tight
+        order = sorted(range(len(ids)), key=lambda i: (vectors[i][0][np.argsort(-vectors[i][1], kind="stable")].tolist(), ids[i]))
         self.ids = np.array([ids[i] for i in order], dtype=np.int64)
         self.labels = np.array([labels[i] for i in order], dtype=np.int8)
         postings: dict[int, list[tuple[int, float]]] = {}
@@ -137,27 +158,38 @@ class Index:
         order = np.argsort(-bound, kind="stable")
         order = order[: np.count_nonzero(bound)]
         places, cosines, kth = np.empty(0, dtype=np.int64), np.empty(0), 0.0
-        for b in order:
+        for seen, b in enumerate(order):
             if len(places) >= k and bound[b] < kth - 1e-12:
                 break
+            if seen == MOST_BLOCKS:  # bounds do not tell: read the lists whole
+                score = np.zeros(len(self.ids))
+                for x, (p, v, _, _, _) in query:
+                    score[p] += x * v
+                places, cosines = self._best(np.flatnonzero(score > 0), score, without, k)
+                break
             score = np.zeros(BLOCK)
             for x, (p, v, block, start, _) in query:
                 i = np.searchsorted(block, b)
                 if i < len(block) and block[i] == b:
                     part = slice(start[i], start[i + 1])
                     score[p[part] - b * BLOCK] += x * v[part]
-            hit = np.flatnonzero(score > 0)
-            if without is not None:
-                hit = hit[self.ids[b * BLOCK + hit] != without]
-            places, cosines = np.r_[places, b * BLOCK + hit], np.r_[cosines, np.minimum(1.0, score[hit])]
-            if len(places) > k:
-                best = np.lexsort((self.ids[places], -np.round(cosines, 12)))[:k]
-                places, cosines = places[best], cosines[best]
+            more, cosine = self._best(np.flatnonzero(score > 0), score, without, k, b * BLOCK)
+            places, cosines = np.r_[places, more], np.r_[cosines, cosine]
             if len(places) >= k:
-                kth = cosines.min()
-        best = np.lexsort((self.ids[places], -np.round(cosines, 12)))
+                kth = np.partition(cosines, -k)[-k]
+        best = np.lexsort((self.ids[places], -np.round(cosines, 12)))[:k]
         return places[best], cosines[best]
 
+    def _best(self, hit: np.ndarray, score: np.ndarray, without: int | None, k: int, offset: int = 0):
+        """Places and cosines of the ``k`` best hits, and of all that tie with the last."""
+        if without is not None:
+            hit = hit[self.ids[offset + hit] != without]
+        cosine = np.minimum(1.0, score[hit])
+        if len(hit) > k:
+            good = cosine >= np.partition(cosine, -k)[-k] - 1e-9
+            hit, cosine = hit[good], cosine[good]
+        return offset + hit, cosine
+
     def vote(self, places: np.ndarray, cosines: np.ndarray, prior: float) -> float:
         w = cosines ** 2
         return float(((w * self.labels[places]).sum() + PRIOR_WEIGHT * prior) / (w.sum() + PRIOR_WEIGHT))
@@ -181,7 +213,7 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Model:
     def __init__(self, idf: dict[str, float], examples: list[tuple[int, int, list, list]], prior: float, none: float):
         self.names = list(idf)
-        self.weights = {t: (f, idf[t]) for f, t in enumerate(self.names)}
+        self.wanted = Wanted(idf)
         self.prior, self.none, self.index = prior, none, None
         vectors = [(np.array(at, dtype=np.int32), np.array(w)) for _, _, at, w in examples]
         if examples:
@@ -191,7 +223,7 @@ class Model:
             self.steps = isotonic(own, np.array([float(e[1]) for e in examples]))
 
     def score(self, text: str | None) -> tuple[float, list[str], list[str]]:
-        at, w = vector(text, self.weights) if self.index else ((), ())
+        at, w = vector(text, self.wanted) if self.index else ((), ())
         if not len(at):
             return self.none, [], []
         places, cosines = self.index.nearest(at, w, NEIGHBOURS)
@@ -207,11 +239,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_features: int = MAX_FEATURES, ma
 
     train = training(docs, labels)
     idf, n1, n0 = choose_terms(term_counts(train), max_features)
-    weights = {t: (f, w) for f, (t, w) in enumerate(idf.items())}
+    wanted = Wanted(idf)
 
     def vectors(batches):
         for batch in batches:
-            found = [vector(t, weights) for t in batch.column("text").to_pylist()]
+            found = [vector(t, wanted) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), batch.column("toxic"),
                 pa.array([at.tolist() for at, _ in found], pa.list_(pa.int32())),
