@@ -13,20 +13,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """A checkpoint in the folder ``spark.checkpoint.dir`` names; a lost executor loses none of it.
-
-    Runs the plan once. Where neither the setting nor the context names a folder, as in a local
-    test, one is made.
-    """
-    context = df.sparkSession.sparkContext
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder of ``spark.checkpoint.dir``. Where nothing names one, as in a local test, one is made."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
             if not context.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="llm-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """A checkpoint in the shared folder; runs the plan once, and a lost executor loses none of it."""
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
 

@@ -302,11 +302,16 @@ def remaining(content: bytes, places: list[int], length: int) -> tuple[bytes, in
     return b"".join([*kept, content[at:]]), len(spans)
 
 
-def marked_documents(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``doc_id, bytes, places`` of every row; ``places`` are the repeated windows, null if there are none."""
+def keyed_rows(docs: DataFrame, *more) -> DataFrame:
+    """``doc, tag, bytes``, by which rows are told apart, and ``more`` columns."""
     content = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
-    keyed = docs.select(F.col("doc_id").cast("long"), content.alias("bytes")).select(
-        "doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.xxhash64("bytes").alias("tag"), "bytes")
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"),
+                       F.xxhash64(content).alias("tag"), content.alias("bytes"), *more)
+
+
+def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``doc, tag, places``: the repeated windows of each document that has any."""
+    keyed = keyed_rows(docs)
     named = keyed.where(F.octet_length("bytes") >= length)
     digests = named.select("doc", "tag", F.octet_length("bytes").alias("size"), F.sha2("bytes", 256).alias("digest"))
     firsts = digests.groupBy("digest").agg(F.min("doc").alias("_first"), F.max("doc").alias("_max")).where("_first < _max").drop("_max")
@@ -320,12 +325,27 @@ def marked_documents(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     whole = copies.select("doc", "tag", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - length, F.lit((1 << N_BITS) - 1).cast("long"))).alias("a"), "size")
     whole = whole.select("doc", "tag", (F.shiftleft("a", N_BITS) + F.least(
         F.lit((1 << N_BITS) - 1), F.col("size") - length + 1 - F.col("a"))).alias("place"))
-    gathered = cut(marks.union(whole).groupBy("doc", "tag").agg(F.collect_set("place").alias("places")))
-    return keyed.join(gathered, ["doc", "tag"], "left").select("doc_id", "bytes", "places")
+    return cut(marks.union(whole).groupBy("doc", "tag").agg(F.collect_set("place").alias("places")))
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``docs`` with the repeated bytes taken from ``text``, what that leaves of a cut character too; ``n_chars`` follows."""
+    import pandas as pd
+
+    @F.pandas_udf("string")
+    def shortened(contents: pd.Series, places: pd.Series) -> pd.Series:
+        return pd.Series([c.decode() if p is None else remaining(c, list(p), length)[0].decode("utf-8", "ignore")
+                          for c, p in zip(contents, places, strict=True)], dtype=object)
 
+    joined = keyed_rows(docs, F.struct("*").alias("row")).join(repeats(docs, length), ["doc", "tag"], "left")
+    text = F.when(F.col("row.text").isNotNull(), shortened("bytes", "places"))
+    made = joined.select("row", text.alias("kept"))
+    new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
+    return made.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
-def summarise(marked: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256``."""
+
+def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of every row."""
     import pyarrow as pa
 
     def compute(batches):
@@ -338,8 +358,6 @@ def summarise(marked: DataFrame, length: int = LENGTH) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(c, pa.int64()) for c in columns[:3]], pa.array(columns[3], pa.string())],
                                              ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return marked.mapInArrow(compute, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-
-
-def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    return summarise(marked_documents(docs, length), length)
+    marked = keyed_rows(docs, F.col("doc_id").cast("long").alias("doc_id")).join(repeats(docs, length), ["doc", "tag"], "left")
+    return marked.select("doc_id", "bytes", "places").mapInArrow(
+        compute, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
