@@ -7,8 +7,8 @@ or earlier in the same one. Strings are judged on the input.
    Windows in a row with one key form a run. Keys held by one run only cannot repeat and are left here: on most text nearly all.
 2. Copies of a whole text are found by digest. Of each group only the first takes part further.
 3. Runs with a repeated key are cut from their documents as segments. A batch of documents keeps one of equal
-   segments. Keys of more than ``HOT`` runs are split: their segments become single windows keyed by content,
-   so no key gathers an unbounded number of different segments.
+   segments. Keys of more than ``HOT`` runs are split: their segments become single windows, each by a key of its own and
+   represented by its 128-bit digest, so no key gathers an unbounded number of different segments.
 4. Segments meet by key. Each task indexes them, some megabytes at a time with keys never split: suffix order, run-compressed
    transform, and for the first and last row of each run its text position and match length with the row before or after.
    Matching statistics of all other positions follow from these samples as the text is streamed: a
@@ -26,12 +26,14 @@ import hashlib
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from airlens.llm.common import cut
+from airlens.llm.common import broadcast_if_small, cut
 
 LENGTH = 100
 GRAM = 16
 #: runs of one key beyond which its segments are split into windows
-HOT = 500
+HOT = 5000
+#: places in all marks that may be broadcast (about 20 bytes each); beyond it marks meet texts by shuffle
+MOST_BROADCAST = 2_000_000
 #: bytes of text handled at a time while hashing, and while indexing
 SLICE = 4 << 20
 CHUNK = 2 << 20
@@ -138,8 +140,8 @@ def segments(found: DataFrame, length: int = LENGTH) -> DataFrame:
                         add(run["key"], content[start:start + n + length - 1], (doc, start, tag, n))
                         continue
                     for at in range(start, start + n):
-                        window = content[at:at + length]
-                        add(xxhash.xxh64_intdigest(window) - (1 << 63), window, (doc, at, tag, 1))
+                        digest = xxhash.xxh128_digest(content[at:at + length])
+                        add(int.from_bytes(digest[:8], "big", signed=True), digest, (doc, at, tag, 1))
             rows = [(key, doc, tag, (start << N_BITS) + n, seg) for seg, (key, (doc, start, tag, n)) in first.items()]
             rows += [(hash((doc, start)), doc, tag, (start << N_BITS) + n, None) for doc, start, tag, n in marks]
             for a in range(0, len(rows), 20_000):
@@ -303,16 +305,31 @@ def remaining(content: bytes, places: list[int], length: int) -> tuple[bytes, in
 
 
 def keyed_rows(docs: DataFrame, *more) -> DataFrame:
-    """``doc, tag, bytes``, by which rows are told apart, and ``more`` columns."""
-    content = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"),
-                       F.xxhash64(content).alias("tag"), content.alias("bytes"), *more)
-
+    """``doc, tag, bytes``, by which documents are told apart, and ``more`` columns.
 
-def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``doc, tag, places``: the repeated windows of each document that has any."""
-    keyed = keyed_rows(docs)
-    named = keyed.where(F.octet_length("bytes") >= length)
+    The tag is a hash of the text where an id has several texts and 0 elsewhere, which takes no room in a shuffle.
+    """
+    content = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
+    several = cut(docs.select(doc.alias("several"), F.xxhash64(content).alias("_tag")).groupBy("several")
+                  .agg(F.min("_tag").alias("_least"), F.max("_tag").alias("_most")).where("_least < _most").select("several"))
+    rows = docs.select(doc.alias("doc"), content.alias("bytes"), *more)
+    if several.isEmpty():
+        return rows.withColumn("tag", F.lit(0).cast("long"))
+    joined = rows.join(several, F.col("doc") == F.col("several"), "left")
+    return joined.withColumn("tag", F.when(F.col("several").isNotNull(), F.xxhash64("bytes")).otherwise(F.lit(0).cast("long"))).drop("several")
+
+
+def with_places(keyed: DataFrame, length: int) -> DataFrame:
+    """``keyed`` and ``places``, the repeated windows of each document that has any."""
+    found = repeats(keyed, length)
+    size = found.agg(F.coalesce(F.sum(F.size("places") + 5), F.lit(0))).first()[0]
+    return keyed.join(broadcast_if_small(found, size, MOST_BROADCAST), ["doc", "tag"], "left")
+
+
+def repeats(keyed: DataFrame, length: int) -> DataFrame:
+    """``doc, tag, places`` of the documents with repeated windows; checkpointed."""
+    named = keyed.select("doc", "tag", "bytes").where(F.octet_length("bytes") >= length)
     digests = named.select("doc", "tag", F.octet_length("bytes").alias("size"), F.sha2("bytes", 256).alias("digest"))
     firsts = digests.groupBy("digest").agg(F.min("doc").alias("_first"), F.max("doc").alias("_max")).where("_first < _max").drop("_max")
     copies = cut(digests.join(firsts, "digest").where("doc > _first").select("doc", "tag", "size").distinct())
@@ -337,7 +354,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         return pd.Series([c.decode() if p is None else remaining(c, list(p), length)[0].decode("utf-8", "ignore")
                           for c, p in zip(contents, places, strict=True)], dtype=object)
 
-    joined = keyed_rows(docs, F.struct("*").alias("row")).join(repeats(docs, length), ["doc", "tag"], "left")
+    joined = with_places(keyed_rows(docs, F.struct("*").alias("row")), length)
     text = F.when(F.col("row.text").isNotNull(), shortened("bytes", "places"))
     made = joined.select("row", text.alias("kept"))
     new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
@@ -358,6 +375,6 @@ def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(c, pa.int64()) for c in columns[:3]], pa.array(columns[3], pa.string())],
                                              ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    marked = keyed_rows(docs, F.col("doc_id").cast("long").alias("doc_id")).join(repeats(docs, length), ["doc", "tag"], "left")
+    marked = with_places(keyed_rows(docs, F.col("doc_id").cast("long").alias("doc_id")), length)
     return marked.select("doc_id", "bytes", "places").mapInArrow(
         compute, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
