@@ -34,7 +34,7 @@ TEMPLATES = [
     ("gpl", "This work is licensed under the GNU General Public License, version 3"),
     ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the "
             "GNU General Public License as published by the Free Software Foundation"),
-    ("lgpl", "Licensed under the GNU Lesser General Public License, version 3"),
+    ("lgpl", "GNU Lesser General Public License"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted "
             "provided that the following conditions are met"),
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),

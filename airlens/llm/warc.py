@@ -102,18 +102,18 @@ def derive(records: DataFrame) -> DataFrame:
 
 
 def as_text(records: DataFrame) -> DataFrame:
-    """``record``: each row as the lines of a WARC 1.1 record."""
+    """``record``: each row as a WARC 1.1 record, without the two line ends that close it."""
     named = [F.when(F.col(c).isNotNull() & (F.col(c) != ""), F.concat(F.lit(f"{name}: "), F.col(c))) for name, c in FIELDS.items()]
     own = F.when(F.coalesce("headers", F.lit("")) != "", F.replace(F.col("headers"), F.lit("\n"), F.lit(EOL)))
     size = F.concat(F.lit("Content-Length: "), F.octet_length(F.coalesce("block", F.lit(""))).cast("string"))
     return records.select(F.concat(
         F.concat_ws(EOL, F.lit("WARC/1.1"), *named, own, size), F.lit(EOL + EOL),
-        F.coalesce("block", F.lit("")), F.lit(EOL + EOL)).alias("record"))
+        F.coalesce("block", F.lit(""))).alias("record"))
 
 
 def write_warc(records: DataFrame, path: str) -> None:
     """One file of records per task."""
-    as_text(records).write.mode("overwrite").option("lineSep", "").text(path)
+    as_text(records).write.mode("overwrite").option("lineSep", EOL + EOL).text(path)
 
 
 def _parsed(content: bytes) -> list[tuple]:
