@@ -5,7 +5,7 @@ from airlens.catalog import sql
 from airlens.catalog.inputs import enriched
 from airlens.catalog.registry import query
 from airlens.operators import graph as G
-from airlens.shared import scratch_path
+from airlens.shared import discard, scratch_path
 from airlens.sinks import read_graph, write_graph
 from airlens.sources.readings import ORDER
 
@@ -95,6 +95,22 @@ def k09(spark, sf):
     base = scratch_path(spark, "graph")
     rows = enriched(spark, sf)
     late = rows.filter(f"NOT {_EARLY}")
-    for part in (rows.filter(_EARLY), late, late):
-        write_graph(G.build_graph(part, ORDER, stage=scratch_path(spark, "graph-stage")), base)
+    for batch, part in (("1", rows.filter(_EARLY)), ("2", late), ("2", late)):
+        stage = scratch_path(spark, "graph-stage")
+        write_graph(G.build_graph(part, ORDER, stage=stage), base, batch)
+        discard(spark, stage)
     return read_graph(spark, base)["reading"].select("country", "city", "event_date", "AQI", "pm25_ugm3")
+
+
+@query("k09_rejects", sql.chain(*_STEPS, last=(
+    f"SELECT {sql.KEYS}, country, city, CASE WHEN {_EARLY} THEN 1 ELSE 2 END AS batch FROM enriched WHERE NOT ({_GOOD})")))
+def k09_rejects(spark, sf):
+    """Readings without a key are stored with the batch they came in; a repeated batch stores them once."""
+    base = scratch_path(spark, "graph")
+    rows = enriched(spark, sf)
+    late = rows.filter(f"NOT {_EARLY}")
+    for batch, part in (("1", rows.filter(_EARLY)), ("2", late), ("2", late)):
+        stage = scratch_path(spark, "graph-stage")
+        write_graph(G.build_graph(part, ORDER, stage=stage), base, batch)
+        discard(spark, stage)
+    return read_graph(spark, base)["rejects"].select(*ORDER, "country", "city", "batch")

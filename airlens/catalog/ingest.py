@@ -83,7 +83,22 @@ def t1_06(spark, sf):
   ELSE '{{"c0":"' || l_orderkey || '","c1":"' || COALESCE(city, '') || '","c2":"' || {_AQI_TEXT} || '"}}' END AS value
 FROM readings"""))
 def t1_06_headerless(spark, sf):
-    return M.encode_records(readings(spark, sf).select(F.expr(_LINE).alias("value")), max_columns=8)
+    return M.encode_records(readings(spark, sf).select(F.expr(_LINE).alias("value")))
+
+
+_WIDE = """CASE WHEN l_linenumber = 1 THEN 'id,a,b' WHEN l_linenumber = 2 THEN CAST(l_orderkey AS STRING) || ',"say ""hi"", you",x'
+  WHEN l_linenumber = 3 THEN CAST(l_orderkey AS STRING) || ',"open, "' WHEN l_linenumber = 4 THEN CAST(l_orderkey AS STRING) || ',"un, closed'
+  ELSE repeat(CAST(l_linenumber AS STRING) || ',', CAST(l_orderkey % 200 AS INT)) || 'end' END"""
+
+
+@query("t1_06_encode_wide", sql.chain(last="""SELECT CASE WHEN l_linenumber = 1 THEN '{"c0":"id","c1":"a","c2":"b"}'
+  WHEN l_linenumber = 2 THEN '{"c0":"' || l_orderkey || '","c1":"say \\"hi\\", you","c2":"x"}'
+  WHEN l_linenumber = 3 THEN '{"c0":"' || l_orderkey || '","c1":"open, "}' WHEN l_linenumber = 4 THEN '{"c0":"' || l_orderkey || '","c1":"un, closed"}'
+  ELSE '{' || array_to_string(list_transform(range(l_orderkey % 200), lambda k: '"c' || k || '":"' || l_linenumber || '",'), '')
+    || '"c' || (l_orderkey % 200) || '":"end"}' END AS value FROM readings"""))
+def t1_06_wide(spark, sf):
+    """Lines of 1 to 200 cells, doubled and unclosed quotes, and rows that look like a header."""
+    return M.encode_records(readings(spark, sf).select(F.expr(_WIDE).alias("value")))
 
 
 # --- files -----------------------------------------------------------------------------

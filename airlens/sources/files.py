@@ -20,9 +20,18 @@ def read_jsonl(spark: SparkSession, path, schema: StructType = S.BATCH, **option
             .json(path))
 
 
-def read_lines(spark: SparkSession, path) -> DataFrame:
-    """Text lines in column ``value``."""
-    return spark.read.text(path)
+def read_lines(spark: SparkSession, path, header: bool = False) -> DataFrame:
+    """Text lines in column ``value``; with ``header``, without the first line of each file, whatever it holds.
+
+    Blank lines are kept only without ``header``.
+    """
+    if not header:
+        return spark.read.text(path)
+    # a separator and a quote that no text file holds: each line is one cell
+    return (spark.read.schema("value string")
+            .options(header=True, enforceSchema=True, sep="\u0001", quote="\u0002", escape="\u0002", nullValue="\u0001",
+                     ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, maxCharsPerColumn=-1)
+            .csv(path))
 
 
 def stream_json(spark: SparkSession, path: str, schema: StructType = S.CLEAN,

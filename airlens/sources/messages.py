@@ -1,16 +1,15 @@
 """Messages: the broker source, and records to and from JSON values."""
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from airlens import schema as S
 from airlens.functions import to_double
 from airlens.operators.standardize import clean_numbers, short_names
 
-_END = "\u0001"
-
 
 def kafka_options(bootstrap: str, topic: str, starting: str = "latest",
                   fail_on_data_loss: bool = False) -> dict[str, str]:
@@ -60,29 +59,32 @@ def clean_message_numbers(df: DataFrame) -> DataFrame:
     return clean_numbers(named, [c for c in named.columns if c not in ("Date", "City", "Country", "topic")])
 
 
-def encode_records(lines: DataFrame, header: str | None = None, delimiter: str = ",",
-                   max_columns: int = 64) -> DataFrame:
+def cells(line: Column, delimiter: str = ",") -> Column:
+    """Array of a line's cells. A cell that starts with a quote runs to the closing one, or to the end of the line if
+    there is none; doubled quotes inside stand for one, and what follows the closing quote belongs to the cell."""
+    d = re.escape(delimiter)
+    quoted = '"([^"]*+(?:""[^"]*+)*+)'
+    found = F.regexp_extract_all(F.concat(F.lit(delimiter), line), F.lit(f'{d}(?:{quoted}(?:"[^{d}]*+|$)|[^{d}]*+)'), F.lit(0))
+    cell = lambda x: F.substr(x, F.lit(len(delimiter) + 1))
+    return F.when(line == "", F.array().cast("array<string>")).otherwise(F.transform(found, lambda x: F.when(
+        F.startswith(cell(x), F.lit('"')), F.concat(
+            F.replace(F.regexp_extract(cell(x), f"^{quoted}", 1), F.lit('""'), F.lit('"')),
+            F.regexp_extract(cell(x), f'(?s)^{quoted}"(.*)', 2))).otherwise(cell(x))))
+
+
+def encode_records(lines: DataFrame, header: str | None = None, delimiter: str = ",") -> DataFrame:
     """Delimited text lines (``value``) -> one JSON object per line (``value``).
 
-    With ``header`` (the file's first line): its names, trimmed of blanks and byte-order mark, are
-    the keys; lines equal to it are skipped, a short line is padded with nulls, surplus cells are
-    dropped. Without: keys are ``c0, c1, ...`` for the cells a line has (up to ``max_columns``).
-    An empty cell is an empty string in both cases.
+    With ``header`` (a header line, not part of ``lines``: see ``read_lines``): its names, trimmed of blanks and
+    byte-order mark, are the keys; a short line is padded with nulls and surplus cells have no name. Of equal names the
+    last counts. Without: keys are ``c0, c1, ...``, one for every cell a line has. An empty cell is an empty
+    string, an empty line has no cells, a null line is left out.
     """
-    names = None
-    if header is not None:
-        names = [n.replace("﻿", "").strip().strip('"') for n in header.split(delimiter)]
-        lines = lines.filter(F.col("value") != F.lit(header))
-    width = len(names) if names else max_columns
-    # A marker after the last cell tells an empty cell from one the line does not have.
-    cells = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width + 1)])
-    row = F.from_csv(F.concat("value", F.lit(delimiter + _END)), cells.simpleString(),
-                     {"sep": delimiter, "mode": "PERMISSIVE"})
-    parsed = lines.select(row.alias("r")).select("r.*")
-    end = F.array_position(F.array(*cells.names), _END)
-    length = F.when(end > 0, end - 1).otherwise(F.lit(width))
-    record = F.struct(*[
-        F.when(length > i, F.coalesce(F.col(f"c{i}"), F.lit(""))).alias(names[i] if names else f"c{i}")
-        for i in range(width)])
-    return parsed.select(
-        F.to_json(record, {"ignoreNullFields": str(names is None).lower()}).alias("value"))
+    parsed = lines.where(F.col("value").isNotNull()).select(cells(F.col("value"), delimiter).alias("cells"))
+    if header is None:
+        names = F.transform("cells", lambda x, i: F.concat(F.lit("c"), i.cast("string")))
+        return parsed.select(F.to_json(F.map_from_arrays(names, F.col("cells"))).alias("value"))
+    named = lines.sparkSession.range(1).select(cells(F.lit(header), delimiter).alias("n")).first()["n"]
+    place = {name.strip("\ufeff").strip(): k for k, name in enumerate(named)}
+    record = F.struct(*[F.get("cells", F.lit(k)).alias(name) for name, k in place.items()])
+    return parsed.select(F.to_json(record, {"ignoreNullFields": "false"}).alias("value"))

@@ -1,3 +1,4 @@
+import csv
 import json
 
 from pyspark.sql import functions as F
@@ -38,11 +39,24 @@ def test_encode_records(spark, tmp_path):
     header = "﻿Date , City,AQI"
     (tmp_path / "a.csv").write_text("\n".join([header, '1/1/2024,"New, York",5', "2/1/2024,", "3/1/2024,x,7,surplus", ""]),
                                     encoding="utf-8")
-    lines = read_lines(spark, str(tmp_path / "a.csv"))
-    got = [json.loads(r["value"]) for r in encode_records(lines, lines.first()["value"]).collect()]
+    assert read_lines(spark, str(tmp_path / "a.csv")).count() == 4
+    lines = read_lines(spark, str(tmp_path / "a.csv"), header=True)
+    got = [json.loads(r["value"]) for r in encode_records(lines, header).collect()]
     assert got == [{"Date": "1/1/2024", "City": "New, York", "AQI": "5"},
                    {"Date": "2/1/2024", "City": "", "AQI": None},
                    {"Date": "3/1/2024", "City": "x", "AQI": "7"}]
     bare = spark.createDataFrame([("a;b;",), ("c",)], "value string").coalesce(1)
     assert [json.loads(r["value"]) for r in encode_records(bare, delimiter=";").collect()] == [
         {"c0": "a", "c1": "b", "c2": ""}, {"c0": "c"}]
+
+
+def test_encode_records_as_csv_does(spark, tmp_path):
+    lines = ['q,"a ""b"" c",d', '"ab"c,"x', 'a"b,c"d"', "", ",", '"",""', ",".join(map(str, range(200))), '"with, comma" tail,z', "Date,City"]
+    want = [next(csv.reader([line]), []) for line in lines]
+    frame = spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1)
+    got = [json.loads(r["value"]) for r in encode_records(frame).collect()]
+    assert got == [{f"c{i}": cell for i, cell in enumerate(row)} for row in want]
+    # a data row that equals the header is a row; the header is known by its place
+    (tmp_path / "h.csv").write_text("Date,City\nDate,City\n  x ,\"y\"\n")
+    rows = encode_records(read_lines(spark, str(tmp_path / "h.csv"), header=True), "Date,City").collect()
+    assert [json.loads(r["value"]) for r in rows] == [{"Date": "Date", "City": "City"}, {"Date": "  x ", "City": "y"}]

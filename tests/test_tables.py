@@ -39,7 +39,7 @@ def test_seasonal_profile_ranks_with_ties(spark):
     profile = D.seasonal_pm25_profile(docs(spark, data))
     assert tuples(profile) == [("a", "Spring", 2, 6.0, 2), ("a", "Summer", 3, 1.0, 1), ("a", "Winter", 1, 6.0, 2)]
     assert [tuple(r) for r in D.season_by_city(profile, ["a"]).collect()] == [("Winter", 6.0), ("Spring", 6.0), ("Summer", 1.0)]
-    assert D.season_by_city(profile).columns == ["season", "a"]
+    assert D.season_by_city(profile, ["a", "z"]).columns == ["season", "a", "z"]
     assert [tuple(r) for r in D.city_by_season(profile).collect()] == [("a", 6.0, 6.0, 1.0, None)]
 
 
@@ -79,6 +79,17 @@ def test_upsert(spark, tmp_path):
     assert january == {f.name for f in (tmp_path / "docs" / "month=2024-01").iterdir()}
 
 
+def test_upsert_keeps_documents_without_time_and_follows_moved_keys(spark, tmp_path):
+    target = str(tmp_path / "docs")
+    frame = lambda rows: spark.createDataFrame(rows, "dedup string, ts_utc timestamp, v int")
+    shown = lambda: tuples(read_target(spark, target), "dedup", "v", "month")
+    upsert_by_key(frame([("k1", None, 1), ("k2", at("2024-01-01"), 2), ("k4", at("2024-03-01"), 4)]), target, "1", ["v"])
+    upsert_by_key(frame([("k3", None, 3)]), target, "2", ["v"])
+    assert shown() == [("k1", 1, "none"), ("k2", 2, "2024-01"), ("k3", 3, "none"), ("k4", 4, "2024-03")]
+    upsert_by_key(frame([("k1", at("2024-02-01"), 5), ("k4", at("2024-02-02"), 6)]), target, "3", ["v"])
+    assert shown() == [("k1", 5, "2024-02"), ("k2", 2, "2024-01"), ("k3", 3, "none"), ("k4", 6, "2024-02")]
+
+
 @pytest.fixture(scope="module")
 def graph_rows(spark):
     """(n, country, city, day, aqi, category, pm25 flag, o3 flag)"""
@@ -123,7 +134,7 @@ def test_stored_graph_keeps_first_values(spark, graph_rows, tmp_path):
     base = str(tmp_path / "graph")
     later = graph_rows.withColumn("AQI", F.col("AQI") + 1000)
     for part in (graph_rows.filter("n <= 3"), later, later):
-        write_graph(G.build_graph(part, ["n"]), base)
+        write_graph(G.build_graph(part, ["n"]), base, "1")
     stored = read_graph(spark, base)
     assert tuples(stored["reading"], "AQI") == [(10.0,), (1070.0,), (1400.0,), (20.0,)]
     assert stored["has_reading"].count() == 4
