@@ -292,8 +292,9 @@ def test_attention_gradients_and_normalisation():
             losses.append(model.gradients(inputs, held, targets)[0])
         w[at] = old
         assert (losses[0] - losses[1]) / 2e-4 == pytest.approx(g[name][at], rel=1e-3, abs=1e-7)
+    assert np.allclose(model.hidden(inputs, held)[0], model.hidden(inputs, held, fast=True)[0])
     h = model.hidden(inputs, held)[0][0, :1]
-    total = sum(np.exp(sum(float(logs[0, right[0]]) for _, _, logs, right in model.levels(h.copy(), np.array([5]), np.array([c])))) for c in range(1000))
+    total = sum(np.exp(sum(float(attention_lm._at(logits, right)[0]) for _, _, logits, right in model.levels(h.copy(), np.array([5]), np.array([c])))) for c in range(1000))
     assert total == pytest.approx(1, abs=1e-5)
 
 
