@@ -10,13 +10,15 @@ from airlens import config as C, schema as S
 from airlens.catalog import sql
 from airlens.catalog.inputs import enriched, messages, raw_sql
 from airlens.catalog.registry import query
-from airlens.operators import risk as R, windows as W
+from airlens.catalog.rows import ALERTS
+from airlens.operators import dashboard as B, risk as R, windows as W
 from airlens.shared import scratch_path
 from airlens.sources import stream_json
 from airlens.sources.messages import decode_raw, decode_typed
 from airlens.sources.readings import table
 from airlens.streaming import sinks
 from airlens.streaming.dedup import dedup_daily_stream
+from airlens.streaming.live import results, start_live
 
 #: readings are daily, so the reports use days where the live feed uses minutes
 DAY = ("2 days", "1 day", "2 days")
@@ -157,25 +159,43 @@ def _message_stream(spark, sf, name):
 
 
 _RAW = [("raw", raw_sql("l_partkey % 50 = 7"))]
-_RAW_COUNTS = ", ".join(f'count("{c}") AS "{c}"' for c in C.RAW_COLUMNS)
-
-
-@query("k02_raw_csv_stream", sql.chain(*_RAW, last=f"SELECT count(*) AS n, {_RAW_COUNTS} FROM raw"))
+@query("k02_raw_csv_stream", sql.chain(*_RAW, last="SELECT " + ", ".join(
+    f"""nullif(trim("{c}"), '') AS "{c}\"""" for c in C.RAW_COLUMNS) + " FROM raw"))
 def k02(spark, sf):
     out = scratch_path(spark, "k02")
     _run(sinks.to_raw_csv(decode_raw(_message_stream(spark, sf, "k02")), f"{out}/data",
                           f"{out}/checkpoint", ALL))
     rows = spark.read.schema(S.RAW).option("header", True).csv(f"{out}/data")
-    return rows.agg(F.count("*").alias("n"), *[F.count(f"`{c}`").alias(c) for c in C.RAW_COLUMNS])
+    return rows.select(*[F.nullif(F.trim(F.col(f"`{c}`")), F.lit("")).alias(c) for c in C.RAW_COLUMNS])
 
 
-@query("k03_typed_json_stream", sql.chain(*_RAW, last=(
-    'SELECT count(*) AS n, count("City") AS cities, count(TRY_CAST("AQI" AS DOUBLE)) AS aqi, '
-    'round(sum(TRY_CAST("AQI" AS DOUBLE)), 2) AS sum_aqi FROM raw')))
+@query("k03_typed_json_stream", sql.chain(*_RAW, last='SELECT "Date", "City", "Country", ' + ", ".join(
+    f'TRY_CAST("{c}" AS DOUBLE) AS "{c}"' for c in C.RAW_COLUMNS[3:]) + " FROM raw"))
 def k03(spark, sf):
     out = scratch_path(spark, "k03")
     _run(sinks.to_json(decode_typed(_message_stream(spark, sf, "k03")), f"{out}/data",
                        f"{out}/checkpoint", ALL))
-    rows = spark.read.schema(S.TYPED).json(f"{out}/data")
-    return rows.agg(F.count("*").alias("n"), F.count("City").alias("cities"), F.count("AQI").alias("aqi"),
-                    F.round(F.sum("AQI"), 2).alias("sum_aqi"))
+    return spark.read.schema(S.TYPED).json(f"{out}/data")
+
+
+# --- the dashboard over stored results -------------------------------------------------
+def _live(spark, sf, name):
+    base = scratch_path(spark, name)
+    started = start_live(_clean_stream(spark, sf, name), base, ALL, preview=False)
+    for one in started.values():
+        _run(one)
+    return results(spark, base)
+
+
+@query("d03_from_stream", sql.chain(*ALERTS, last=(
+    "SELECT city, country, AQI, alert_priority, alert_message FROM alerts WHERE alert_priority <= 3")))
+def d03_from_stream(spark, sf):
+    return _live(spark, sf, "d03-live")["alerts"].select("city", "country", "AQI", "alert_priority", "alert_message")
+
+
+@query("d05_from_stream", sql.chain(*sql.ENRICHED, last=(
+    "SELECT city, country, round(avg(AQI), 6) AS avg_aqi, max(AQI) AS max_aqi, count(*) AS count FROM enriched GROUP BY city, country "
+    "ORDER BY avg_aqi DESC NULLS LAST, city NULLS FIRST, country NULLS FIRST LIMIT 10")))
+def d05_from_stream(spark, sf):
+    stats = _live(spark, sf, "d05-live")["city_stats"].withColumn("avg_aqi", F.round("avg_aqi", 6))
+    return B.top_city_stats(stats)

@@ -1,5 +1,7 @@
 """Names, dates, places and numbers in one shape, whatever the source wrote."""
 
+import re
+import unicodedata
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
@@ -8,15 +10,10 @@ from pyspark.sql.types import StringType
 from airlens import config as C
 from airlens.functions import clean_number, norm_city, norm_country, parse_ts, to_double
 
-_FOLDS = str.maketrans({
-    "µ": "u", "μ": "u", "³": "3", "°": "deg",
-    "(": " ", ")": " ", "/": " ", "-": " ", "_": " ",
-})
-
-
 def fold_header(name: str) -> str:
-    """Spelling-independent form of a header: unit signs as ASCII, blanks folded, lower case."""
-    return " ".join(name.translate(_FOLDS).split()).lower()
+    """Spelling-independent form of a header: compatible forms as one, a degree sign as "deg", only words, lower case."""
+    plain = unicodedata.normalize("NFKC", name.replace("°", " deg")).replace("μ", "u")
+    return " ".join(re.findall(r"[^\W_]+(?:\.\d+)?", plain)).lower()
 
 
 def canonicalize_headers(df: DataFrame, aliases: Mapping[str, str] = C.HEADER_ALIASES) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -58,29 +59,54 @@ def to_raw_csv(df: DataFrame, path: str, checkpoint: str, trigger: dict | None =
     return _start(df.writeStream.foreachBatch(write), trigger, checkpoint)
 
 
-def to_snapshot(df: DataFrame, path: str, checkpoint: str, mode: str = "complete",
-                trigger: dict | None = None, keep: int = 3) -> StreamingQuery:
+def to_snapshot(df: DataFrame, path: str, checkpoint: str, mode: str = "append",
+                trigger: dict | None = None, keep: int = 3, merge_every: int = 100) -> StreamingQuery:
     """Parquet per micro-batch at ``batch_id=``; :func:`read_snapshot` gives the current result.
 
-    ``complete`` rewrites the whole result each time and leaves the last ``keep`` of them.
-    ``update`` writes changed rows only and ``append`` closed windows only: the choice for results
-    that grow.
+    ``append`` writes closed windows only and ``update`` changed rows only: their state is bounded by the watermark, and
+    every ``merge_every`` batches become one folder, so files do not pile up. ``complete`` rewrites the whole result each
+    time and leaves the last ``keep`` of them: for results of bounded size.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
         if mode == "complete" and batch_id >= keep:
             discard(batch.sparkSession, f"{path}/batch_id={batch_id - keep}")
+        elif mode != "complete" and (batch_id + 1) % merge_every == 0:
+            _merge(batch.sparkSession, path, batch_id, merge_every)
 
     return _start(df.writeStream.outputMode(mode).foreachBatch(write), trigger, checkpoint)
 
 
-def read_snapshot(spark: SparkSession, path: str, mode: str = "complete",
+def _merge(spark: SparkSession, path: str, last: int, size: int) -> None:
+    """Batches up to ``last`` as one folder ``upto=`` beside ``path``. The folder appears at once when it is complete, and
+    readers skip batches it holds, so a merge that broke off can be repeated and loses or doubles nothing."""
+    merged = f"{path}__merged"
+    batches = spark.read.parquet(path).where(F.col("batch_id").between(last - size + 1, last))
+    batches.hint("rebalance").write.mode("overwrite").parquet(f"{merged}/_writing")
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    files = path_of(merged).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(path_of(f"{merged}/upto={last}"), True)
+    files.rename(path_of(f"{merged}/_writing"), path_of(f"{merged}/upto={last}"))
+    for batch_id in range(last - size + 1, last + 1):
+        if batch_id != last:  # one stays, so that the folder keeps its columns
+            discard(spark, f"{path}/batch_id={batch_id}")
+
+
+def read_snapshot(spark: SparkSession, path: str, mode: str = "append",
                   keys: Sequence[str] = ()) -> DataFrame:
-    """Current result of :func:`to_snapshot`: last batch, newest row per key, or all batches."""
+    """Current result of :func:`to_snapshot`: all batches, newest row per key (``update``), or last batch (``complete``)."""
     batches = spark.read.parquet(path)
     if mode == "complete":
         newest = spark.read.parquet(path).agg(F.max("batch_id"))
-        batches = batches.filter(F.col("batch_id") == newest.scalar())
-    elif mode == "update":
+        return batches.filter(F.col("batch_id") == newest.scalar()).drop("batch_id")
+    try:
+        merged = spark.read.parquet(f"{path}__merged")
+    except AnalysisException as problem:
+        if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+    else:
+        upto = spark.read.parquet(f"{path}__merged").agg(F.max("upto"))
+        batches = batches.filter(F.col("batch_id") > F.coalesce(upto.scalar(), F.lit(-1))).unionByName(merged.drop("upto"))
+    if mode == "update":
         batches = first_per_key(batches, keys, [F.desc("batch_id")])
     return batches.drop("batch_id")

@@ -35,39 +35,39 @@ def test_totals(spark, cleaned):
     assert (cleaned.count(), valid.count(), invalid.count()) == (18, 17, 1)
     bad = labeled.first()
     assert bad["error_codes"] == ["CITY_EMPTY", "COUNTRY_EMPTY"] and bad["error_code"] == "CITY_EMPTY"
-    assert bad["error_message"].startswith("failed validation | temp_c=9.9 | humidity=68.0 | ")
+    assert bad["error_message"].startswith("failed validation | temp_c=20.0 | humidity=50.0 | ")
 
 
 @pytest.mark.parametrize("line,expected", [
-    (2, {"city": "New York", "country": "USA", "humidity_pct": 60.0}),
-    (4, {"country": "India", "pm25_ugm3": 105.1, "co_ppm": 0.57}),
-    (5, {"city": "Paris", "country": "France", "o3_ppb": 57.4}),
-    (6, {"city": "São Paulo", "no2_ppb": 31.8, "hemisphere": "S", "season": "Summer"}),
-    (7, {"pm25_ugm3": 67.9}),
-    (8, {"pm10_ugm3": 102.8}),
-    (9, {"so2_ppb": 34.7}),
-    (10, {"ts": at("2024-01-02")}),
-    (11, {"pm10_ugm3": 77.8, "no2_ppb": 20.2}),
-    (12, {"o3_ppb": 49.9}),
-    (13, {"country": "Egypt", "temp_c": 37.5}),
-    (14, {"so2_ppb": 26.0}),
-    (15, {"wind_ms": 5.3}),
-    (16, {"city": None, "country": None}),
-    (17, {"humidity_pct": 67.0}),
-    (18, {"temp_c": -9.9}),
-    (19, {"temp_c": 37.5, "day_of_week": "Wed"}),
+    (2, {"city": "Paris", "country": "France", "humidity_pct": 44.0}),   # of 44 and 58
+    (3, {"country": "Egypt", "pm25_ugm3": 95.0}),                       # of 95 and 110
+    (4, {"co_ppm": 1.1}),                                               # of 1.1 and 1.9
+    (5, {"city": "São Paulo", "no2_ppb": 22.0, "hemisphere": "S", "season": "Winter"}),
+    (6, {"pm25_ugm3": 19.0, "o3_ppb": 58.0}),
+    (7, {"city": "Paris"}),
+    (8, {"country": "Egypt"}),
+    (9, {"ts": at("2023-06-15")}),                                      # a day after the row before in Delhi
+    (10, {"o3_ppb": 45.0}),
+    (11, {"so2_ppb": 11.0, "wind_ms": 2.2}),
+    (12, {"pm10_ugm3": 71.0, "no2_ppb": 28.0}),
+    (13, {"pm10_ugm3": 130.0}),
+    (14, {"so2_ppb": 15.0, "humidity_pct": 57.0}),
+    (15, {"temp_c": 17.0, "day_of_week": "Fri"}),
+    (18, {"city": None, "country": None}),
+    (19, {"temp_c": 28.0, "season": "Summer"}),
 ])
 def test_line(by_line, line, expected):
     assert {k: by_line[line][k] for k in expected} == expected
 
 
 def test_imputed_index(by_line):
-    assert by_line[2]["AQI"] == pytest.approx(250.816, abs=1e-3)
-    assert by_line[6]["AQI"] == pytest.approx(128.578, abs=1e-3)
+    # PM2.5 decides: 80.5 lies in 55.5..150.4 for 151..200, and 40.5 in 35.5..55.4 for 101..150
+    assert by_line[2]["AQI"] == pytest.approx(151 + 25 * 49 / 94.9, abs=1e-3)
+    assert by_line[5]["AQI"] == pytest.approx(101 + 5 * 49 / 19.9, abs=1e-3)
 
 
 def test_duplicate_day_is_removed(by_line):
-    assert 20 not in by_line
+    assert 15 in by_line and 16 not in by_line
 
 
 def test_job_writes_valid_and_labelled(spark, noise_file, tmp_path):

@@ -14,7 +14,7 @@ from airlens.sources import kafka_options, kafka_source, stream_json
 from airlens.streaming import sinks
 from airlens.streaming.dedup import dedup_daily_stream
 from airlens.streaming.ingest import preview, start_ingest
-from airlens.streaming.live import start_live
+from airlens.streaming.live import results, start_live
 from tests.helpers import at, tuples
 
 ALL = {"availableNow": True}
@@ -62,7 +62,7 @@ def table(spark, folder):
 def test_complete_equals_batch(spark, feed, tmp_path, aggregate):
     out = str(tmp_path)
     run(sinks.to_snapshot(aggregate(stream_json(spark, feed)), f"{out}/d", f"{out}/c", "complete", ALL))
-    got = sinks.read_snapshot(spark, f"{out}/d")
+    got = sinks.read_snapshot(spark, f"{out}/d", "complete")
     assert tuples(got) == tuples(aggregate(table(spark, feed)))
     assert len([d for d in os.listdir(f"{out}/d") if d.startswith("batch_id=")]) == 3
 
@@ -85,6 +85,17 @@ def test_update_snapshot_keeps_newest_row_per_window(spark, feed, tmp_path):
     assert tuples(got) == tuples(W.city_metrics(table(spark, feed).filter("AQI < 999")))
 
 
+@pytest.mark.parametrize("mode", ["append", "update"])
+def test_merged_batches_hold_the_same_rows(spark, feed, tmp_path, mode):
+    out, keys = str(tmp_path), ["window_start", "city", "country"]
+    for name, every in (("plain", 100), ("merged", 2)):
+        run(sinks.to_snapshot(W.city_metrics(stream_json(spark, feed)), f"{out}/{name}", f"{out}/{name}-c", mode, ALL, merge_every=every))
+    batches = len(os.listdir(f"{out}/plain"))
+    assert len(os.listdir(f"{out}/merged")) < batches
+    got = tuples(sinks.read_snapshot(spark, f"{out}/merged", mode, keys))
+    assert got == tuples(sinks.read_snapshot(spark, f"{out}/plain", mode, keys)) and got
+
+
 def test_dedup_expires_state(spark, tmp_path):
     day = at("2024-01-01 12:00:00")
     batches = [[reading(day + timedelta(days=i), 1.0), reading(day + timedelta(days=i), 2.0)] for i in range(20)]
@@ -103,10 +114,13 @@ def test_live_queries(spark, feed, tmp_path):
     queries = start_live(stream_json(spark, feed, max_files_per_trigger=100), str(tmp_path), ALL)
     run(*queries.values())
     assert set(queries) == {"city_metrics", "country_trends", "pollutant_correlations", "health_alerts",
-                            "city_snapshot", "country_snapshot", "alert_log", "alert_preview"}
-    data = table(spark, feed)
-    assert tuples(spark.table("city_metrics")) == tuples(W.city_metrics(data))
-    assert spark.table("health_alerts").count() == data.count()
+                            "city_stats", "alert_log", "alert_preview"}
+    assert not [t for t in spark.catalog.listTables() if t.name in queries]   # nothing is kept in the driver's memory
+    data, stored = table(spark, feed), results(spark, str(tmp_path))
+    closed = W.city_metrics(data).filter(F.col("window_end") <= F.lit(data.agg(F.max("ts")).first()[0] - timedelta(minutes=2)))
+    assert tuples(stored["city_metrics"]) == tuples(closed)
+    assert tuples(stored["city_stats"]) == tuples(W.city_stats(data))
+    assert stored["health_alerts"].count() == data.count()
     log = spark.read.parquet(str(tmp_path / "alerts"))
     assert log.count() == data.filter("AQI > 150").count() > 0
     # A second run finds nothing new and repeats nothing.
