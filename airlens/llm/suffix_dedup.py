@@ -9,7 +9,7 @@ or earlier in the same one. Strings are judged on the input.
 3. Runs with a repeated key are cut from their documents as segments. A batch of documents keeps one of equal
    segments. Keys of more than ``HOT`` runs are split: their segments become single windows, each by a key of its own and
    represented by its 128-bit digest, so no key gathers an unbounded number of different segments.
-4. Segments meet by key. Each task indexes them, some megabytes at a time with keys never split: suffix order, run-compressed
+4. Segments meet by key. Each task indexes those of keys with several different ones, some megabytes at a time with keys never split: suffix order, run-compressed
    transform, and for the first and last row of each run its text position and match length with the row before or after.
    Matching statistics of all other positions follow from these samples as the text is streamed: a
    position whose row is inside a run matches one byte less than the position before it. Windows whose statistic reaches ``length``
@@ -38,17 +38,26 @@ MOST_BROADCAST = 2_000_000
 SLICE = 4 << 20
 CHUNK = 2 << 20
 LAST = (1 << 63) - 1
-#: a run's place is start * 2**20 + windows
+#: a run's place is start * 2**20 + windows, and half of 2**20 more if the run may repeat within itself
 N_BITS = 20
+SELF = 1 << N_BITS - 1
+MOST_N = SELF - 1
 _SEG = "key long, doc long, tag long, place long, seg binary"
 
 
-def _gram_hashes(text: np.ndarray) -> np.ndarray:
+def _hashes(text: np.ndarray, length: int) -> np.ndarray:
+    """A 64-bit hash of every ``length`` bytes in a row, by doubling."""
     h, p, size = text.astype(np.uint64), 0x9E3779B97F4A7C15, 1
-    while size < GRAM:
+    whole, done = None, 0
+    while True:
+        if length & size:
+            whole = h if whole is None else whole[: len(whole) - size] * np.uint64(p) + h[done:]
+            done += size
+        if done == length:
+            break
         h = h[:-size] * np.uint64(p) + h[size:]
         p, size = p * p % (1 << 64), 2 * size
-    h ^= h >> np.uint64(29)
+    h = whole ^ (whole >> np.uint64(29))
     h *= np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(32)
     return h
@@ -66,7 +75,7 @@ def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
 def runs_of(text: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Keys, starts, numbers of windows, and weights of the runs of a text; weight 2 if a run may repeat within itself."""
     width = length - GRAM + 1
-    grams = _gram_hashes(text)
+    grams = _hashes(text, GRAM)
     keys = _sliding(grams, width, np.minimum)
     start = np.r_[0, np.flatnonzero(keys[1:] != keys[:-1]) + 1]
     n = np.diff(np.r_[start, len(keys)])
@@ -77,7 +86,7 @@ def runs_of(text: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndar
     at = at[order]
     twice = (grams[at[1:]] == grams[at[:-1]]) & (np.diff(at) <= width)
     weight = 1 + np.isin(keys[start], grams[at[1:]][twice]).astype(np.int32)
-    most = (1 << N_BITS) - 1
+    most = MOST_N
     if len(n) and n.max() > most:  # cut very long runs
         parts = -(-n // most)
         begin = np.concatenate([start[i] + most * np.arange(k) for i, k in enumerate(parts)])
@@ -105,7 +114,8 @@ def document_runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                     continue
                 for offset, part in _slices(np.frombuffer(content, np.uint8), length):
                     keys, start, n, weight = runs_of(part, length)
-                    found.append((keys, np.full(len(keys), doc), np.full(len(keys), tag), (start + offset << N_BITS) + n, weight))
+                    found.append((keys, np.full(len(keys), doc), np.full(len(keys), tag),
+                                  (start + offset << N_BITS) + n + np.where(weight > 1, SELF, 0), weight))
             if found:
                 columns = [np.concatenate(x) for x in zip(*found, strict=True)]
                 for a in range(0, len(columns[0]), 100_000):
@@ -135,9 +145,9 @@ def segments(found: DataFrame, length: int = LENGTH) -> DataFrame:
 
             for doc, tag, content, runs in zip(*[batch.column(c).to_pylist() for c in ("doc", "tag", "bytes", "runs")], strict=True):
                 for run in runs:
-                    start, n = run["place"] >> N_BITS, run["place"] & (1 << N_BITS) - 1
+                    start, n, own = run["place"] >> N_BITS, run["place"] & MOST_N, run["place"] & SELF
                     if not run["hot"]:
-                        add(run["key"], content[start:start + n + length - 1], (doc, start, tag, n))
+                        add(run["key"], content[start:start + n + length - 1], (doc, start, tag, n + own))
                         continue
                     for at in range(start, start + n):
                         digest = xxhash.xxh128_digest(content[at:at + length])
@@ -236,23 +246,52 @@ class RunIndex:
         return found
 
 
+def _promising(texts: list[bytes], length: int) -> list[bytes]:
+    """The texts, in order, with a window whose hash occurs twice among all; the others hold no repeated window."""
+    if not texts:
+        return []
+    sizes = np.array([len(t) for t in texts])
+    n = np.maximum(0, sizes - length + 1)
+    owner = np.repeat(np.arange(len(texts)), n)
+    at = np.arange(n.sum()) + np.repeat(np.cumsum(sizes) - sizes - (np.cumsum(n) - n), n)
+    if not len(at):
+        return []
+    found = _hashes(np.frombuffer(b"".join(texts), np.uint8), length)[at]
+    order = np.argsort(found, kind="stable")
+    same = found[order[1:]] == found[order[:-1]]
+    hit = np.zeros(len(texts), dtype=bool)
+    hit[owner[order[1:][same]]] = hit[owner[order[:-1][same]]] = True
+    return [texts[k] for k in np.flatnonzero(hit)]
+
+
 def _marked(rows: list[tuple], length: int):
-    """Marks (doc, tag, place) of segment rows ``key, doc, tag, place, seg`` in any order."""
+    """Marks (doc, tag, place) of segment rows ``key, doc, tag, place, seg``, whole keys in any order.
+
+    Segments are indexed where their key has several different ones, or where one may repeat within itself, and if a hash
+    shows that some window may occur twice; copies of one segment need no index.
+    """
     rows.sort(key=lambda r: (r[1], r[3] >> N_BITS, r[2]))
+    contents: dict[int, set[bytes]] = {}
+    for r in rows:
+        contents.setdefault(r[0], set()).add(r[4])
     place: dict[bytes, int] = {}
     for r in rows:
-        place.setdefault(r[4], len(place))
-    texts = list(place)
-    index = RunIndex(texts)
-    again = index.repeated(length)
-    begin = np.r_[0, index.ends[:-1] + 1]
+        if len(contents[r[0]]) > 1 or r[3] & SELF:
+            place.setdefault(r[4], len(place))
+    place = {seg: k for k, seg in enumerate(_promising(list(place), length))}
+    if place:
+        index = RunIndex(list(place))
+        again = index.repeated(length)
+        begin = np.r_[0, index.ends[:-1] + 1]
     seen = set()
-    for key, doc, tag, at, seg in rows:
-        k, start, n = place[seg], at >> N_BITS, at & (1 << N_BITS) - 1
-        if k in seen:  # a later copy of a whole segment
-            yield doc, tag, at
+    for _, doc, tag, at, seg in rows:
+        start, n = at >> N_BITS, at & MOST_N
+        if seg in seen:  # a later copy of a whole segment
+            yield doc, tag, (start << N_BITS) + n
+            continue
+        seen.add(seg)
+        if (k := place.get(seg)) is None:
             continue
-        seen.add(k)
         hit = np.flatnonzero(np.diff(np.r_[0, again[begin[k]:begin[k] + n], 0]))
         for a, b in zip(hit[::2].tolist(), hit[1::2].tolist(), strict=True):
             yield doc, tag, (start + a << N_BITS) + b - a
@@ -291,7 +330,7 @@ def remaining(content: bytes, places: list[int], length: int) -> tuple[bytes, in
     """The bytes that stay, and the number of removed runs, if ``places`` are the repeated windows."""
     spans: list[list[int]] = []
     for place in sorted(places):
-        start, n = place >> N_BITS, place & (1 << N_BITS) - 1
+        start, n = place >> N_BITS, place & MOST_N
         end = start + n - 1 + length
         if spans and start <= spans[-1][1]:
             spans[-1][1] = max(spans[-1][1], end)
@@ -339,9 +378,9 @@ def repeats(keyed: DataFrame, length: int) -> DataFrame:
     again = runs.join(held, "key").groupBy("doc", "tag").agg(F.collect_list(F.struct("key", "place", "hot")).alias("runs"))
     again = again.join(copies, ["doc", "tag"], "left_anti")
     marks = mark(segments(named.join(again, ["doc", "tag"]), length), length)
-    whole = copies.select("doc", "tag", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - length, F.lit((1 << N_BITS) - 1).cast("long"))).alias("a"), "size")
+    whole = copies.select("doc", "tag", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - length, F.lit(MOST_N).cast("long"))).alias("a"), "size")
     whole = whole.select("doc", "tag", (F.shiftleft("a", N_BITS) + F.least(
-        F.lit((1 << N_BITS) - 1), F.col("size") - length + 1 - F.col("a"))).alias("place"))
+        F.lit(MOST_N), F.col("size") - length + 1 - F.col("a"))).alias("place"))
     return cut(marks.union(whole).groupBy("doc", "tag").agg(F.collect_set("place").alias("places")))
 
 
