@@ -128,6 +128,15 @@ def test_exact_medians_match_brute_force(spark):
     assert got == want
 
 
+def test_crowded_values_are_narrowed(spark, monkeypatch):
+    """Nearly all values crowd at one end of their range: no slot of the first cut is small enough."""
+    monkeypatch.setattr(impute, "_MOST_VALUES", 50)
+    monkeypatch.setattr(impute, "_SLOTS", 16)
+    df = spark.range(3000).select(F.lit("x").alias("country"), F.lit("y").alias("city"), (F.col("id") / 3e9).alias("v"))
+    df = df.union(spark.createDataFrame([("x", "y", 0.0155)], df.schema))
+    assert {r["median"] for r in impute.level_medians(df, ["v"]).collect()} == {1500 / 3e9}
+
+
 def test_medians_treat_nan_as_largest(spark):
     df = spark.createDataFrame([("X", "a", v) for v in (float("nan"), float("inf"), 1.0, float("nan"), 2.0)],
                                "country string, city string, v double")
