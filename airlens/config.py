@@ -193,6 +193,14 @@ POLLUTION_SOURCES = {
 POLLUTION_SOURCE_DEFAULT = "Industrial Activity"
 SEASONAL_FACTORS = {"Winter": 1.2, "Summer": 0.9}
 SEASONAL_FACTOR_DEFAULT = 1.0
+# priority -> AQI above which it holds, and the flag that must have the given value, if any; the first that holds counts
+ALERT_RULES = {
+    1: (300, None),
+    2: (200, ("who_compliant_all", "No")),
+    3: (150, ("pm25_exceeds_who", "Yes")),
+    4: (100, None),
+}
+ALERT_CALM = 5
 # priority -> text before and after the city
 ALERT_TEXTS = {
     1: (" HAZARDOUS: ", " - Immediate action required!"),

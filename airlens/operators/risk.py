@@ -66,13 +66,11 @@ def add_pollution_source(df: DataFrame) -> DataFrame:
 
 def alert_priority() -> Column:
     """1 (act now) to 5 (fine, or AQI unknown)."""
-    aqi = F.col("AQI")
-    return first_match([
-        (aqi > 300, F.lit(1)),
-        ((aqi > 200) & (F.col("who_compliant_all") == "No"), F.lit(2)),
-        ((aqi > 150) & (F.col("pm25_exceeds_who") == "Yes"), F.lit(3)),
-        (aqi > 100, F.lit(4)),
-    ], F.lit(5))
+    def holds(limit, flag):
+        above = F.col("AQI") > limit
+        return above & (F.col(flag[0]) == flag[1]) if flag else above
+
+    return first_match([(holds(*rule), F.lit(p)) for p, rule in C.ALERT_RULES.items()], F.lit(C.ALERT_CALM))
 
 
 def add_alert(df: DataFrame, clock: bool = True) -> DataFrame:
