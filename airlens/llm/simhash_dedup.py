@@ -8,8 +8,8 @@ as the data allow. How many candidates part i costs at threshold t is estimated
 that agree on it are counted, and the count is scaled by the chance that independent bits with these means
 differ in at most t places. Dynamic programming deals the r + 1 units to parts; the number of parts is
 chosen by the same cost. Every row is indexed by its parts and probes them with all values within t_i, and
-candidates are verified by their full distance inside the join. Radii 1, 2 .. r are taken in turn, so that a dense
-group is one component before its wider links are looked for.
+candidates are verified by their full distance inside the join. Half the radius is taken first, so that a dense
+group is one component, or a few, before its wider links are looked for.
 
 Defined cases: a null or empty text has fingerprint zero and links like any other; texts of fewer words than a
 shingle are one shingle; repeated rows return one row each; rows without doc_id take part in links but not
@@ -184,12 +184,12 @@ def links(nodes: DataFrame, chosen: list[tuple[list[int], int]], radius: int) ->
 def clusters(fps: DataFrame, radius: int) -> DataFrame:
     """``fp, label``: the smallest fingerprint reachable by steps of at most ``radius``, of the distinct column ``fp``.
 
-    Radii are taken in turn, from 1 up, and what one radius has joined is not joined again by the next: a dense group of
-    near copies becomes one label by its closest pairs, and does not make all its pairs.
+    Half the radius comes first, and what it has joined is not joined again by the whole: a dense group of
+    near copies becomes one label, or a few, by its closer pairs, and does not make all its pairs.
     """
     known = statistics(fps)
     nodes = fps.select("fp", F.col("fp").alias("label"))
-    for step in range(1, radius + 1):
+    for step in sorted({(radius + 1) // 2, radius}):
         joined = components(links(nodes, plan(known, step), step)).withColumnsRenamed({"node": "_node", "label": "_label"})
         nodes = cut(nodes.join(joined, nodes["label"] == joined["_node"], "left")
                     .select("fp", F.coalesce("_label", "label").alias("label")))
