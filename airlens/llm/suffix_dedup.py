@@ -32,8 +32,9 @@ LENGTH = 100
 GRAM = 16
 #: runs of one key beyond which its segments are split into windows
 HOT = 5000
-#: places in all marks that may be broadcast (about 20 bytes each); beyond it marks meet texts by shuffle
-MOST_BROADCAST = 2_000_000
+#: places in all marks, and five for each document with any, that may be broadcast (about 12 bytes each, 60 MB); beyond it
+#: marks meet texts by a shuffle of the texts
+MOST_BROADCAST = 5_000_000
 #: bytes of text handled at a time while hashing, and while indexing
 SLICE = 4 << 20
 CHUNK = 2 << 20
