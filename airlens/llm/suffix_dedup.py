@@ -127,6 +127,20 @@ def document_runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return docs.mapInArrow(compute, "key long, doc long, tag long, place long, weight int")
 
 
+def _joined(marks: list[tuple]):
+    """Marks ``doc, start, tag, n`` with those that follow one another in a document made one: ``doc, tag, start, n``."""
+    held = None
+    for doc, tag, start, n in sorted((doc, tag, start, n & MOST_N) for doc, start, tag, n in marks):
+        if held and held[:2] == (doc, tag) and start <= held[2] + held[3] and start + n - held[2] <= MOST_N:
+            held = (doc, tag, held[2], max(held[3], start + n - held[2]))
+            continue
+        if held:
+            yield held
+        held = (doc, tag, start, n)
+    if held:
+        yield held
+
+
 def segments(found: DataFrame, length: int = LENGTH) -> DataFrame:
     """Segments of ``doc, tag, bytes, runs``; without ``seg`` a row is a mark: an equal segment starts earlier in its batch."""
     import pyarrow as pa
@@ -154,7 +168,7 @@ def segments(found: DataFrame, length: int = LENGTH) -> DataFrame:
                         digest = xxhash.xxh128_digest(content[at:at + length])
                         add(int.from_bytes(digest[:8], "big", signed=True), digest, (doc, at, tag, 1))
             rows = [(key, doc, tag, (start << N_BITS) + n, seg) for seg, (key, (doc, start, tag, n)) in first.items()]
-            rows += [(hash((doc, start)), doc, tag, (start << N_BITS) + n, None) for doc, start, tag, n in marks]
+            rows += [(doc, doc, tag, (start << N_BITS) + n, None) for doc, tag, start, n in _joined(marks)]
             for a in range(0, len(rows), 20_000):
                 columns = list(zip(*rows[a:a + 20_000], strict=True))
                 yield pa.RecordBatch.from_arrays(
