@@ -8,7 +8,8 @@ edges, the weaker the further apart they are in the tree. The minimum cut labels
 Spark deals the pages; one page, however long, is labelled inside its row by Arrow batches.
 
 Defined cases: a null or empty page, or one without content, has empty text; text outside any tag is a block; unclosed or stray
-tags are tolerated; repeated rows return one row each; other columns are ignored; an empty table gives an empty result.
+tags are tolerated; a raw element ends at its own end tag only, whatever else it holds; a form is boilerplate except for an
+article or main inside it; repeated rows return one row each; other columns are ignored; an empty table gives an empty result.
 """
 
 import html as entities
@@ -22,8 +23,11 @@ BLOCK_TAGS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre section summary table tbody "
     "tfoot thead tr ul".split())
-RAW_TAGS = frozenset("head iframe noscript object script style svg template textarea title".split())
-VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+RAW_TAGS = frozenset("iframe noscript object script style svg template textarea title".split())
+#: of these, tags whose content is elements: they nest, and one without an end tag is passed over
+NESTED_TAGS = frozenset("noscript object svg template".split())
+#: head is one of these, as all it may hold is raw or void; so it ends with or without its end tag
+VOID_TAGS = frozenset("area base br col embed head hr img input link meta param source track wbr".split())
 #: tags and names of classes, ids and roles that mark boilerplate
 OFF_TAGS = frozenset("aside button dialog fieldset footer form menu nav select".split())
 OFF_NAMES = frozenset(
@@ -36,6 +40,7 @@ ADJACENT, SIBLING = 1.0, 1.0
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|$)|([^<]+|<)", re.S)
 _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+_RAW_ENDS = {tag: re.compile(rf"<(/?){tag}(?=[\s/>])[^>]*(?:>|$)", re.I) for tag in RAW_TAGS}
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:[\s=/]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 
 
@@ -47,7 +52,8 @@ class Block:
 
 
 def _off(tag: str, attributes: str, in_article: bool) -> bool:
-    if tag in OFF_TAGS or (tag == "header" and not in_article):
+    """Whether an element marks boilerplate; for a form, whether it does so by more than being one."""
+    if tag != "form" and tag in OFF_TAGS or (tag == "header" and not in_article):
         return True
     if tag in ("html", "body", "article", "main") or not attributes:
         return False
@@ -57,33 +63,46 @@ def _off(tag: str, attributes: str, in_article: bool) -> bool:
     return any(n in OFF_NAMES for n in names)
 
 
+def _behind(page: str, tag: str, at: int) -> int:
+    """Place behind the end tag of the raw element whose content starts at ``at``; without one the end of the page, or ``at`` if elements nest."""
+    depth = 1
+    for m in _RAW_ENDS[tag].finditer(page, at):
+        if m[1]:
+            depth -= 1
+        elif tag in NESTED_TAGS and not m[0].endswith("/>"):
+            depth += 1
+        if not depth:
+            return m.end()
+    if tag in NESTED_TAGS:
+        first = next((m for m in _RAW_ENDS[tag].finditer(page, at) if m[1]), None)
+        return first.end() if first else at
+    return len(page)
+
+
 def blocks_of(page: str) -> list[Block]:
-    """Blocks in page order. A stack entry is (number, tag, off, article)."""
-    found, stack, parts, raw, number, linked = [], [(0, "", False, False)], [], None, 0, 0
+    """Blocks in page order. A stack entry is (number, tag, off, form, article); form: in one that no article or main is inside of."""
+    found, stack, parts, place, number, linked, endless = [], [(0, "", False, False, False)], [], 0, 0, 0, set()
 
     def close():
         nonlocal parts, linked
         text = " ".join(entities.unescape("".join(parts)).split())
         if text:
-            tag = next((t for _, t, _, _ in reversed(stack) if t in BLOCK_TAGS), "")
-            path = tuple(n for n, t, _, _ in stack if t in BLOCK_TAGS or not t)
-            found.append(Block(text, path, min(1.0, linked / max(1, len(text))), stack[-1][2], stack[-1][3], tag))
+            tag = next((t for _, t, *_ in reversed(stack) if t in BLOCK_TAGS), "")
+            path = tuple(n for n, t, *_ in stack if t in BLOCK_TAGS or not t)
+            found.append(Block(text, path, min(1.0, linked / max(1, len(text))), stack[-1][2] or stack[-1][3], stack[-1][4], tag))
         parts, linked = [], 0
 
-    for m in _TOKEN.finditer(page):
+    while m := _TOKEN.match(page, place):
+        place = m.end()
         end, tag, attributes, text = m.groups()
         if text is not None:
-            if raw is None:
-                parts.append(text)
-                if any(t == "a" for _, t, _, _ in stack[-3:]):
-                    linked += len(text.strip())
+            parts.append(text)
+            if any(t == "a" for _, t, *_ in stack[-3:]):
+                linked += len(text.strip())
             continue
         if tag is None:
             continue
         tag = tag.lower()
-        if raw is not None:
-            raw = None if end and tag == raw else raw
-            continue
         if tag in BLOCK_TAGS:
             close()
         elif tag in ("br", "td", "th"):
@@ -93,16 +112,19 @@ def blocks_of(page: str) -> list[Block]:
             if at is not None:
                 del stack[at:]
         elif tag in RAW_TAGS:
-            if not attributes.rstrip().endswith("/"):
-                raw = tag
+            if not attributes.rstrip().endswith("/") and tag not in endless:
+                place = _behind(page, tag, place)
+                if place == m.end() and tag in NESTED_TAGS:
+                    endless.add(tag)
         elif tag not in VOID_TAGS:
             if tag in ("p", "li", "tr", "dd", "dt", "option") or tag[:1] == "h" and tag[1:].isdigit():
                 at = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][1] in BLOCK_TAGS), None)
                 if at is not None and (stack[at][1] == tag or stack[at][1] == "p"):
                     del stack[at:]  # its end tag was left out
             number += 1
-            _, _, off, article = stack[-1]
-            stack.append((number, tag, off or _off(tag, attributes, article), article or tag in ("article", "main")))
+            _, _, off, form, article = stack[-1]
+            main = tag in ("article", "main")
+            stack.append((number, tag, off or _off(tag, attributes, article), tag == "form" or form and not main, article or main))
     close()
     return found
 

@@ -82,6 +82,20 @@ def test_html_main_text():
     assert html_extract.main_text("<nav>" + "<p>a b" * 3000)[0] == ""
 
 
+def test_html_raw_elements_and_forms():
+    text = lambda page: html_extract.main_text(page)[0]
+    article = "<article><h1>Title</h1><p>The text of the page.</p></article>"
+    whole = "Title\n\nThe text of the page."
+    for script in ("for(i=0;i<n;i++)f(i);", "a='<p'; b=\"it's\"", "if(a<b&&c>d)document.write('<style>')", "<!-- x"):
+        assert text(f"<body><script>{script}</script>{article}<script>g()</script>") == whole
+    assert text(f"<html><head><meta charset=utf-8><title>t</title><body>{article}") == whole
+    assert text(f"<head><style>p<q{{}}</style>{article}") == whole
+    assert text(f"<form id=page action=/x><nav><p>Menu</p></nav>{article}<p>Send</p></form>") == whole
+    assert text(f"<main>{article}<form><p>Sign up here</p></form></main>") == whole
+    assert text(f"<svg><svg>a</svg>b</svg>{article}<svg>") == whole
+    assert text(f"{article}<script>never closed <p>no text") == whole
+
+
 def test_min_cut_is_minimal():
     r = random.Random(5)
     for _ in range(200):
