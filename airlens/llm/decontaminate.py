@@ -11,7 +11,10 @@ ln(1 + items / items that hold it).
 2. Each window gets a 64-bit SimHash of its shingles and is looked up among the items of its size by
    multi-index blocks: with one block more than the radius has bits, two fingerprints within the radius agree
    in at least one block.
-3. Pairs within the radius are verified by the exact weighted similarity.
+3. Pairs beyond the radius are not lost: a window of ``similarity`` with an item holds one of its heaviest shingles, those
+   that together weigh more than 1 - ``similarity`` of it, and is looked up by these too. So the result does not depend
+   on the radius.
+4. All pairs found are verified by the exact weighted similarity.
 
 Defined cases: items of fewer than five words hold no shingle and match nothing; null or empty texts match
 nothing; repeated rows and items count once in the result, one row per (doc_id, item_id); other columns are
@@ -82,6 +85,15 @@ def items_of(benchmark: DataFrame) -> DataFrame:
         F.aggregate("_w", F.lit(0.0), lambda a, x: a + x).alias("_total"), F.log1p(n_items).alias("_other")))
 
 
+def heaviest(items: DataFrame, similarity: float) -> DataFrame:
+    """``_n, item_id, _fp, _g``: shingles of each item, heaviest first, until what is left weighs less than ``similarity`` of it."""
+    ordered = F.array_sort(F.zip_with("_t", "_w", lambda t, w: F.struct((-w).alias("_minus"), t.alias("_g"))))
+    before = lambda i: F.aggregate(F.slice("_o", F.lit(1), i), F.lit(0.0), lambda a, x: a - x["_minus"])
+    return (items.withColumn("_o", ordered)
+            .withColumn("_o", F.filter("_o", lambda x, i: before(i) <= F.col("_total") * (1 - similarity) + 1e-6))
+            .select("_n", "item_id", "_fp", F.explode("_o._g").alias("_g")))
+
+
 def windows(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``doc_id, _key, _n, _start, _win``: windows of item size where a document shares a shingle with an item."""
     places = items.select("_n", F.posexplode("_s").alias("_offset", "_g")).distinct()
@@ -115,7 +127,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     keyed = printed.select("_n", "_content", "_f", F.explode(blocks(F.col("_f"), radius)).alias("_b"))
     index = items.select("_n", "item_id", "_fp", F.explode(blocks(F.col("_fp"), radius)).alias("_b"))
     near = (keyed.join(index, ["_n", "_b"]).where(F.bit_count(F.col("_f").bitwiseXOR(F.col("_fp"))) <= radius)
-            .select("_n", "_content", "item_id", "_fp").distinct())
+            .select("_n", "_content", "item_id", "_fp"))
+    heavy = cut(heaviest(items, similarity))
+    heavy = broadcast_if_small(heavy, heavy.count(), MOST_BROADCAST)
+    beyond = (printed.select("_n", "_content", F.explode("_win").alias("_g")).join(heavy, ["_n", "_g"])
+              .select("_n", "_content", "item_id", "_fp"))
+    near = near.unionByName(beyond).distinct()
     shared = F.aggregate(F.zip_with("_t", "_w", lambda t, w: F.when(F.array_contains("_win", t), w).otherwise(F.lit(0.0))),
                          F.lit(0.0), lambda a, x: a + x)
     common = F.size(F.array_intersect("_win", "_t"))

@@ -371,6 +371,16 @@ def test_decontaminate(spark, odd):
     assert decontaminate.contaminated(odd.where("false"), benchmark.where("false")).collect() == []
 
 
+def test_decontaminate_beyond_the_radius(spark):
+    """One inner word of 50 changed: similarity 41 / 51, which fingerprints do not always show."""
+    items = [(i, prose(2000 + i, 50)) for i in range(400)]
+    docs = [(i, " ".join([*t.split(" ")[:25], "edit", *t.split(" ")[26:]]), "s") for i, t in items]
+    benchmark, docs = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(docs, SHAPE)
+    for radius in (15, 3):
+        got = decontaminate.contaminated(docs, benchmark, radius=radius).collect()
+        assert sorted((x.doc_id, x.item_id) for x in got) == [(i, i) for i in range(400)]
+
+
 # --- pipeline ----------------------------------------------------------------------------
 def test_pipeline_stages(spark, odd, tmp_path):
     import corpus_pipeline
