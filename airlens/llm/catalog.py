@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airlens.llm import attention_lm, decontaminate, host_rules, html_extract, license_scan, packing, simhash_dedup, suffix_dedup, toxicity, warc
+from airlens.llm import attention_lm, decontaminate, host_rules, html_extract, license_scan, packing, phrase_mining, simhash_dedup, suffix_dedup, toxicity, warc
 from airlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -165,3 +165,29 @@ def op3(spark, sf):
 @query("op8_attention_lm")
 def op8(spark, sf):
     return attention_lm.score(table(spark, sf, "documents"))
+
+
+@query("op11_phrase_mining", r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS w FROM pieces),
+n AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, 1 AS k, unnest(w) AS phrase FROM w
+  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w WHERE len(w) > 1
+  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM w WHERE len(w) > 2),
+f AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS p, CAST(count(*) AS HUGEINT) AS a FROM g GROUP BY ALL HAVING count(*) >= 10),
+cut AS (SELECT lang, phrase, 1 AS place, k, a, p[1] AS one, array_to_string(p[2:], ' ') AS two FROM f WHERE k > 1
+  UNION ALL SELECT lang, phrase, 2, k, a, array_to_string(p[:2], ' '), p[3] FROM f WHERE k = 3),
+s AS (SELECT c.lang, c.phrase, place, c.k, c.a, x.a AS l, y.a AS r, 1000000 * c.a * c.a // (x.a * y.a) AS score
+  FROM cut c JOIN f x ON x.lang = c.lang AND x.phrase = one JOIN f y ON y.lang = c.lang AND y.phrase = two),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, place) = 1),
+around AS (SELECT lang, part, max(a) AS longer FROM (
+    SELECT lang, unnest([p[1] || ' ' || p[2], p[2] || ' ' || p[3]]) AS part, a FROM f WHERE k = 3) GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN around o ON b.k = 2 AND o.lang = b.lang AND o.part = b.phrase
+  WHERE longer IS NULL OR 100 * longer < 50 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
+  CAST(score AS BIGINT) AS score
+FROM ranked JOIN n USING (lang) WHERE rank <= 2000""")
+def op11(spark, sf):
+    return phrase_mining.collocations(table(spark, sf, "documents"))
