@@ -2,9 +2,10 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from airlens.llm import attention_lm, decontaminate, host_rules, html_extract, license_scan, packing, phrase_mining, simhash_dedup, suffix_dedup, toxicity, warc
+from airlens.llm import (attention_lm, decontaminate, host_rules, html_extract, lexical_search, license_scan, line_dedup, packing,
+                         phrase_mining, simhash_dedup, suffix_dedup, toxicity, warc)
 from airlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -191,3 +192,36 @@ SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(
 FROM ranked JOIN n USING (lang) WHERE rank <= 2000""")
 def op11(spark, sf):
     return phrase_mining.collocations(table(spark, sf, "documents"))
+
+
+@query("op12_line_dedup", r"""
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i FROM documents),
+k AS (SELECT doc_id, i, line, translate(regexp_replace(line, '^[ \t-\r]+|[ \t-\r]+$', '', 'g'),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM l),
+c AS (SELECT k, count(DISTINCT doc_id) AS n FROM k WHERE k <> '' GROUP BY k HAVING count(DISTINCT doc_id) >= 10),
+m AS (SELECT doc_id, i, line, c.n FROM k LEFT JOIN c USING (k))
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(n) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE n IS NULL), '')) AS kept_sha256,
+  CAST(coalesce(max(n), 0) AS BIGINT) AS most_docs
+FROM m GROUP BY doc_id""")
+def op12(spark, sf):
+    return line_dedup.drop_common_lines(table(spark, sf, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"), "most_docs")
+
+
+_TERMS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query("op13_lexical_search", f"""
+WITH d AS (SELECT doc_id, {_TERMS.format("coalesce(text, '')")} AS w FROM documents),
+s AS (SELECT count(*) FILTER (WHERE len(w) > 0) AS docs, CAST(sum(len(w)) AS BIGINT) AS total FROM d),
+tf AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM d) GROUP BY ALL),
+q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS.format("coalesce(text, '')")}) AS term FROM benchmark) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, s GROUP BY term),
+x AS (SELECT doc_id, term, (1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // total)) AS x FROM tf, s),
+r AS (SELECT item_id, doc_id, CAST(sum(times * w * x) AS BIGINT) AS score FROM q JOIN w USING (term) JOIN x USING (term) GROUP BY ALL),
+o AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM r WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 20""")
+def op13(spark, sf):
+    return lexical_search.rank(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
