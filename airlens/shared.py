@@ -7,16 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; set here only if unset, on a local master."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
+    """The folder named by ``spark.checkpoint.dir``. Where nothing names one, as in a test on a local master, one is made."""
     context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="airlens-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    context.setCheckpointDir(folder)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="airlens-"))
+        folder = context.getCheckpointDir()
     return folder
 
 
@@ -35,7 +33,13 @@ def materialized(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hadoop(spark: SparkSession, path: str):
+    """A path and its file system, whatever storage it names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a folder this library wrote for passing use."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    folder, files = hadoop(spark, path)
+    files.delete(folder, True)

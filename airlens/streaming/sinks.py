@@ -2,12 +2,11 @@
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from airlens.operators.clean import first_per_key
-from airlens.shared import discard
+from airlens.shared import discard, hadoop
 
 EVERY_10_SECONDS = {"processingTime": "10 seconds"}
 
@@ -60,53 +59,99 @@ def to_raw_csv(df: DataFrame, path: str, checkpoint: str, trigger: dict | None =
 
 
 def to_snapshot(df: DataFrame, path: str, checkpoint: str, mode: str = "append",
-                trigger: dict | None = None, keep: int = 3, merge_every: int = 100) -> StreamingQuery:
+                trigger: dict | None = None, keep: int = 3, merge_every: int = 100, keys: Sequence[str] = ()) -> StreamingQuery:
     """Parquet per micro-batch at ``batch_id=``; :func:`read_snapshot` gives the current result.
 
     ``append`` writes closed windows only and ``update`` changed rows only: their state is bounded by the watermark, and
-    every ``merge_every`` batches become one folder, so files do not pile up. ``complete`` rewrites the whole result each
+    every ``merge_every`` batches become one folder, so files do not pile up; with ``keys`` (of ``update``) that folder is a version
+    of the whole result, one row per key. ``complete`` rewrites the whole result each
     time and leaves the last ``keep`` of them: for results of bounded size.
+
+    A folder counts once its marker is there, which is written last. A batch that is repeated after a crash is left as it
+    is stored, and so is a merge, so ``path`` and ``checkpoint`` belong together: start a new path with a new checkpoint.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        if batch_id > _merged_upto(spark, path) and batch_id not in _complete(spark, path, "batch_id"):
+            _write_complete(batch, f"{path}/batch_id={batch_id}")
+        else:                               # stored already; it runs for the query's state alone
+            batch.write.format("noop").mode("overwrite").save()
         if mode == "complete" and batch_id >= keep:
-            discard(batch.sparkSession, f"{path}/batch_id={batch_id - keep}")
+            discard(spark, f"{path}/batch_id={batch_id - keep}")
         elif mode != "complete" and (batch_id + 1) % merge_every == 0:
-            _merge(batch.sparkSession, path, batch_id, merge_every)
+            _merge(spark, path, batch_id, keys if mode == "update" else ())
 
     return _start(df.writeStream.outputMode(mode).foreachBatch(write), trigger, checkpoint)
 
 
-def _merge(spark: SparkSession, path: str, last: int, size: int) -> None:
-    """Batches up to ``last`` as one folder ``upto=`` beside ``path``. The folder appears at once when it is complete, and
-    readers skip batches it holds, so a merge that broke off can be repeated and loses or doubles nothing."""
+#: an empty file that makes a folder count
+MARKER = "_complete"
+
+
+def _write_complete(df: DataFrame, folder: str) -> None:
+    df.write.mode("overwrite").parquet(folder)
+    marker, files = hadoop(df.sparkSession, f"{folder}/{MARKER}")
+    files.create(marker, True).close()
+
+
+def _complete(spark: SparkSession, path: str, name: str) -> list[int]:
+    """Numbers of the complete ``name=`` folders, in order; only folders are listed."""
+    pattern, files = hadoop(spark, f"{path}/{name}=*/{MARKER}")
+    return sorted(int(found.getPath().getParent().getName().removeprefix(f"{name}=")) for found in files.globStatus(pattern) or [])
+
+
+def _merged_upto(spark: SparkSession, path: str) -> int:
+    return max(_complete(spark, f"{path}__merged", "upto"), default=-1)
+
+
+def _batches(spark: SparkSession, path: str, after: int, last: int | None = None) -> DataFrame | None:
+    """Rows of complete batches with their ``batch_id``."""
+    found = [n for n in _complete(spark, path, "batch_id") if n > after and (last is None or n <= last)]
+    if not found:
+        return None
+    rows = spark.read.option("basePath", path).parquet(*[f"{path}/batch_id={n}" for n in found])
+    return rows.withColumn("batch_id", F.col("batch_id").cast("long"))
+
+
+def _merge(spark: SparkSession, path: str, last: int, keys: Sequence[str]) -> None:
+    """Batches up to ``last`` that no merge holds yet as one folder ``upto=`` beside ``path``; with ``keys`` the newest rows of
+    the version before and of these batches.
+
+    Readers go by the newest complete folder, so one that broke off is written again and loses or doubles nothing. What it
+    replaces stays until the next merge, for readers who have listed it.
+    """
     merged = f"{path}__merged"
-    batches = spark.read.parquet(path).where(F.col("batch_id").between(last - size + 1, last))
-    batches.hint("rebalance").write.mode("overwrite").parquet(f"{merged}/_writing")
-    path_of = spark._jvm.org.apache.hadoop.fs.Path
-    files = path_of(merged).getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(path_of(f"{merged}/upto={last}"), True)
-    files.rename(path_of(f"{merged}/_writing"), path_of(f"{merged}/upto={last}"))
-    for batch_id in range(last - size + 1, last + 1):
-        if batch_id != last:  # one stays, so that the folder keeps its columns
+    before = _merged_upto(spark, path)
+    if before >= last:
+        return
+    rows = _batches(spark, path, before, last)
+    if keys and before >= 0:
+        rows = rows.unionByName(spark.read.parquet(f"{merged}/upto={before}"))
+    if keys:
+        rows = first_per_key(rows, keys, [F.desc("batch_id")])
+    _write_complete(rows.hint("rebalance"), f"{merged}/upto={last}")
+    for batch_id in _complete(spark, path, "batch_id"):
+        if batch_id <= before:
             discard(spark, f"{path}/batch_id={batch_id}")
+    if keys:
+        for version in _complete(spark, merged, "upto"):
+            if version < before:
+                discard(spark, f"{merged}/upto={version}")
 
 
 def read_snapshot(spark: SparkSession, path: str, mode: str = "append",
                   keys: Sequence[str] = ()) -> DataFrame:
     """Current result of :func:`to_snapshot`: all batches, newest row per key (``update``), or last batch (``complete``)."""
-    batches = spark.read.parquet(path)
     if mode == "complete":
-        newest = spark.read.parquet(path).agg(F.max("batch_id"))
-        return batches.filter(F.col("batch_id") == newest.scalar()).drop("batch_id")
-    try:
-        merged = spark.read.parquet(f"{path}__merged")
-    except AnalysisException as problem:
-        if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-    else:
-        upto = spark.read.parquet(f"{path}__merged").agg(F.max("upto"))
-        batches = batches.filter(F.col("batch_id") > F.coalesce(upto.scalar(), F.lit(-1))).unionByName(merged.drop("upto"))
+        newest = max(_complete(spark, path, "batch_id"), default=None)
+        return spark.read.parquet(path if newest is None else f"{path}/batch_id={newest}")
+    versions = _complete(spark, f"{path}__merged", "upto")
+    rows = _batches(spark, path, max(versions, default=-1))
+    if versions:
+        merged = spark.read.parquet(*[f"{path}__merged/upto={n}" for n in versions])
+        rows = merged if rows is None else rows.unionByName(merged)
+    if rows is None:
+        return spark.read.parquet(path)     # says that there is nothing
     if mode == "update":
-        batches = first_per_key(batches, keys, [F.desc("batch_id")])
-    return batches.drop("batch_id")
+        rows = first_per_key(rows, keys, [F.desc("batch_id")])
+    return rows.drop("batch_id")

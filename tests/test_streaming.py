@@ -96,6 +96,37 @@ def test_merged_batches_hold_the_same_rows(spark, feed, tmp_path, mode):
     assert got == tuples(sinks.read_snapshot(spark, f"{out}/plain", mode, keys)) and got
 
 
+@pytest.mark.parametrize("mode, merge_every", [("append", 1), ("update", 1), ("update", 2)])
+def test_replayed_batch_loses_and_doubles_nothing(spark, feed, tmp_path, mode, merge_every):
+    """The newest batch runs again, as after a crash before its commit, also where its merge is done."""
+    out, keys = str(tmp_path), ("window_start", "city", "country")
+    start = lambda: run(sinks.to_snapshot(W.city_metrics(stream_json(spark, feed)), f"{out}/d", f"{out}/c", mode, ALL,
+                                          merge_every=merge_every, keys=keys))
+    shown = lambda: tuples(sinks.read_snapshot(spark, f"{out}/d", mode, keys))
+    start()
+    want, last = shown(), max(int(n) for n in os.listdir(f"{out}/c/commits") if n.isdigit())
+    os.remove(f"{out}/c/commits/{last}")
+    os.remove(f"{out}/c/commits/.{last}.crc")
+    start()
+    assert os.path.exists(f"{out}/c/commits/{last}") and shown() == want and want
+
+
+def test_snapshot_ignores_half_written_folders(spark, feed, tmp_path):
+    out, keys = str(tmp_path), ["window_start", "city", "country"]
+    run(sinks.to_snapshot(W.city_metrics(stream_json(spark, feed)), f"{out}/d", f"{out}/c", "update", ALL, merge_every=3, keys=keys))
+    want = tuples(sinks.read_snapshot(spark, f"{out}/d", "update", keys))
+    kept = sinks._complete(spark, f"{out}/d__merged", "upto")
+    rows = spark.read.parquet(f"{out}/d__merged/upto={kept[-1]}")
+    rows.limit(1).write.parquet(f"{out}/d__merged/upto=99")     # broke off before its marker
+    rows.drop("batch_id").limit(1).write.parquet(f"{out}/d/batch_id=99")
+    assert tuples(sinks.read_snapshot(spark, f"{out}/d", "update", keys)) == want
+    assert rows.count() == rows.select(*keys).distinct().count()
+    # a version that breaks off is written anew from what it was to replace
+    os.remove(f"{out}/d__merged/upto={kept[-1]}/_complete")
+    sinks._merge(spark, f"{out}/d", kept[-1], keys)
+    assert tuples(sinks.read_snapshot(spark, f"{out}/d", "update", keys)) == want
+
+
 def test_dedup_expires_state(spark, tmp_path):
     day = at("2024-01-01 12:00:00")
     batches = [[reading(day + timedelta(days=i), 1.0), reading(day + timedelta(days=i), 2.0)] for i in range(20)]
