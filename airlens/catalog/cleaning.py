@@ -31,6 +31,15 @@ def c12(spark, sf):
     return readings(spark, sf).transform(clean.fill_missing_date, ORDER).select(*ORDER, "city", "country", "ts")
 
 
+@query("c12_fill_missing_date_hot_place", sql.chain(("one", "SELECT * REPLACE ('everywhere' AS city, CASE WHEN l_linenumber < 7 THEN 'X' END AS country) FROM readings"),
+    ("x", sql.filled_dates("one")), last=f"SELECT {sql.KEYS}, country, ts FROM x"))
+def c12_hot(spark, sf):
+    """Two places, of which one holds most rows, ordered by a time and dealt to 24 ranges: dates carry across them."""
+    rows = readings(spark, sf).withColumns({
+        "city": F.lit("everywhere"), "country": F.when(F.col("l_linenumber") < 7, "X"), "seen": F.timestamp_micros(F.col("l_orderkey") * 40)})
+    return rows.transform(clean.fill_missing_date, ["seen", *ORDER[1:]], partitions=24).select(*ORDER, "country", "ts")
+
+
 @query("c13_dedup_daily", sql.chain(("x", sql.deduped("readings")), last=(
     f"SELECT {sql.KEYS}, country, city, CAST(event_date AS VARCHAR) AS event_date, AQI, pm25_ugm3 FROM x")))
 def c13(spark, sf):

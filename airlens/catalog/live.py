@@ -12,7 +12,7 @@ from airlens.catalog.inputs import enriched, messages, raw_sql
 from airlens.catalog.registry import query
 from airlens.catalog.rows import ALERTS
 from airlens.operators import dashboard as B, risk as R, windows as W
-from airlens.shared import scratch_path
+from airlens.shared import discard, materialized, scratch_path
 from airlens.sources import stream_json
 from airlens.sources.messages import decode_raw, decode_typed
 from airlens.sources.readings import table
@@ -150,6 +150,78 @@ def c14(spark, sf):
     return spark.read.parquet(f"{out}/data").select("city", "country", "event_date")
 
 
+# --- several batches, rows that come late -----------------------------------------------
+#: the turn in which a reading arrives: by date, but every seventh line of an order one turn late
+_TURN = ("CASE WHEN ts IS NULL OR ts < TIMESTAMP '1997-06-01 00:00:00' THEN 0 WHEN ts < TIMESTAMP '1999-09-01 00:00:00' THEN 1 ELSE 2 END "
+         "+ CASE WHEN l_linenumber = 7 THEN 1 ELSE 0 END")
+#: the same of events
+_EVENT_TURN = ("CASE WHEN ts < TIMESTAMP '2024-01-08 00:00:00' THEN 0 WHEN ts < TIMESTAMP '2024-01-16 00:00:00' THEN 1 "
+               "WHEN ts < TIMESTAMP '2024-01-24 00:00:00' THEN 2 ELSE 3 END + CASE WHEN user_id % 10 = 3 THEN 1 ELSE 0 END")
+
+
+def _in_turns(spark, name, rows, turn, turns, start):
+    """Rows reach a stream turn by turn: each turn's files are there before ``start(stream)`` goes on from its checkpoint, and
+    it has used them up, and closed what the watermark closes, before the next ones come."""
+    folder = scratch_path(spark, f"{name}-input")
+    staged = materialized(rows.withColumn("_turn", F.expr(turn)), f"{folder}/staged")
+    shape = staged.drop("_turn").schema
+    for number in range(turns):
+        staged.where(F.col("_turn") == number).drop("_turn").write.json(f"{folder}/in-{number}")
+        _run(start(stream_json(spark, f"{folder}/in-*", shape, max_files_per_trigger=1000)))
+    discard(spark, folder)
+
+
+def _dealt(source, turn, late):
+    """Steps that give each row the watermark it met: what came before its turn, less the allowed delay."""
+    return [("dealt", f"SELECT *, {turn} AS turn FROM {source}"),
+            ("seen", f"SELECT turn, max(max(ts)) OVER (ORDER BY turn) - INTERVAL {late} DAY AS mark FROM dealt GROUP BY turn"),
+            ("met", "SELECT d.*, mark FROM dealt d LEFT JOIN seen s ON s.turn = d.turn - 1")]
+
+
+def _on_time(sql_text):
+    """A windowed aggregate of the windows that the watermark had not closed when their rows came."""
+    return sql_text.replace("FROM enriched WHERE", "FROM met WHERE").replace(
+        ") AS x GROUP BY", ") AS x WHERE mark IS NULL OR window_end > mark GROUP BY")
+
+
+_MET, _CLOSED = [*sql.ENRICHED, *_dealt("enriched", _TURN, 2)], "SELECT * FROM m WHERE window_end <= (SELECT max(mark) FROM seen)"
+_CITY_KEYS = ("window_start", "city", "country")
+
+
+def _late_snapshot(name, aggregate, window, mode, keys=()):
+    def run(spark, sf):
+        out = scratch_path(spark, name)
+        _in_turns(spark, name, enriched(spark, sf).select(*S.CLEAN.names, "l_linenumber"), _TURN, 4, lambda stream: sinks.to_snapshot(
+            aggregate(stream, *window), f"{out}/data", f"{out}/checkpoint", mode, ALL, merge_every=2, keys=keys))
+        return sinks.read_snapshot(spark, f"{out}/data", mode, keys)
+    return run
+
+
+# Late rows are in no window that had closed before their turn; append output has the windows closed in the end.
+query("t5_02_city_metrics_late", sql.chain(*_MET, ("m", _on_time(CITY_SQL)), last=_CLOSED))(
+    _late_snapshot("t5-02-late", W.city_metrics, DAY, "append"))
+query("t5_05_correlations_stream", sql.chain(*_MET, ("m", _on_time(CORR_SQL)), last=_CLOSED))(
+    _late_snapshot("t5-05-late", W.pollutant_correlations, CORR, "append"))
+# Update output has every window, as of the last batch that changed it; versions are merged while it runs.
+query("k06_update_stream", sql.chain(*_MET, last=_on_time(CITY_SQL)))(
+    _late_snapshot("k06-update", W.city_metrics, DAY, "update", _CITY_KEYS))
+
+
+@query("c14_dedup_stream_late", "WITH " + ", ".join(f"{name} AS ({body})" for name, body in _dealt(
+    "(SELECT user_id, event_type, date_trunc('second', ts) AS ts FROM events)", _EVENT_TURN, 1)) +
+    " SELECT DISTINCT event_type AS city, CAST(user_id AS VARCHAR) AS country, CAST(CAST(ts AS DATE) AS VARCHAR) AS event_date "
+    "FROM met WHERE mark IS NULL OR ts > mark")
+def c14_late(spark, sf):
+    """Five turns, state that expires, and copies that come a turn late: those behind the watermark are dropped."""
+    out = scratch_path(spark, "c14-late")
+    events = table(spark, sf, "events").select(
+        F.date_trunc("second", F.col("ts").cast("timestamp")).alias("ts"), F.col("event_type").alias("city"), "user_id",
+        F.col("user_id").cast("string").alias("country"), F.col("value").alias("AQI"))
+    _in_turns(spark, "c14-late", events, _EVENT_TURN, 5, lambda stream: sinks.to_parquet(
+        dedup_daily_stream(stream), f"{out}/data", f"{out}/checkpoint", ALL))
+    return spark.read.parquet(f"{out}/data").select("city", "country", "event_date")
+
+
 # --- message sinks ------------------------------------------------------------------
 def _message_stream(spark, sf, name):
     folder = scratch_path(spark, f"{name}-input")

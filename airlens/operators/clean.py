@@ -3,10 +3,10 @@
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
-from pyspark.sql import types as T
 
 from airlens import config as C
 from airlens.functions import norm_city
+from airlens.shared import materialized, scratch_path
 
 
 # ---------------------------------------------------------------------------
@@ -45,85 +45,76 @@ def fill_city(df: DataFrame, lookup: DataFrame | Mapping = C.COUNTRY_TO_CITY) ->
 # ---------------------------------------------------------------------------
 # Missing dates
 # ---------------------------------------------------------------------------
-def _chunk_of(df: DataFrame, column: str, bits: int) -> Column:
-    """Order-preserving chunk number: no chunk spans more than ``2 ** bits`` values of ``column``."""
-    kind = df.schema[column].dataType
-    if isinstance(kind, T.IntegralType):
-        position = F.col(column).cast("long")
-    elif isinstance(kind, T.TimestampType):
-        position = F.unix_micros(column)
-    else:
-        raise ValueError(f"leading order column {column!r} must be an integer or a timestamp")
-    return F.shiftright(position, bits)
+def date_edges(dealt: DataFrame) -> DataFrame:
+    """What lies around each place's rows in each part: ``_key, _part, _offset, _carry, _ahead``.
+
+    ``dealt`` has a row's place ``_key``, the part of the table it lies in, its position there and its ``ts``. Parts are
+    consecutive ranges of (place, order), so each place and part is summed up in one row (row count, first and last
+    known date with their positions), and a scan over a place's summaries sees a row per part, however many rows it has.
+    """
+    known_at = F.when(F.col("ts").isNotNull(), F.struct("_pos", "ts"))
+    summary = dealt.groupBy("_key", "_part").agg(
+        F.count("*").alias("_rows"), F.min(known_at).alias("_first"), F.max(known_at).alias("_last"))
+    along = W.partitionBy("_key").orderBy("_part")
+    back = W.partitionBy("_key").orderBy(F.col("_part").desc())
+    before = (W.unboundedPreceding, -1)
+    shifted = summary.withColumn("_offset", F.coalesce(F.sum("_rows").over(along.rowsBetween(*before)), F.lit(0)))
+    return shifted.select(
+        "_key", "_part", "_offset",
+        F.last(_moved("_last"), ignorenulls=True).over(along.rowsBetween(*before)).alias("_carry"),
+        F.last(_moved("_first"), ignorenulls=True).over(back.rowsBetween(*before)).alias("_ahead"))
+
+
+def _moved(near: str) -> Column:
+    """A position and its date, with the position counted from the place's first row."""
+    return F.when(F.col(near).isNotNull(), F.struct((F.col("_offset") + F.col(f"{near}._pos")).alias("_pos"), F.col(f"{near}.ts").alias("ts")))
+
+
+def deal_dates(df: DataFrame, order_by: Sequence[str], keys: Sequence[str], path: str, partitions: int | None = None) -> DataFrame:
+    """Place, order columns and ``ts`` alone, dealt by ranges of (place, order) into parts of like size, with positions.
+
+    The parts are written to ``path``, as ranges drawn again might differ. A part's size follows from the rows alone, whatever
+    the order columns hold, and no place is larger than a part there.
+    """
+    spark = df.sparkSession
+    narrow = df.select(F.struct(*keys).alias("_key"), *dict.fromkeys(order_by), "ts")   # a struct is never NULL, so NULL places group and join
+    ranges = ["_key", *order_by] if partitions is None else [partitions, "_key", *order_by]
+    dealt = materialized(narrow.repartitionByRange(*ranges).withColumn("_part", F.spark_partition_id()), path)
+    order = W.partitionBy("_key", "_part").orderBy(*order_by)
+    return dealt.withColumn("_pos", F.row_number().over(order).cast("long"))
 
 
 def fill_missing_date(
     df: DataFrame,
     order_by: Sequence[str],
     keys: Sequence[str] = ("country", "city"),
-    chunk_bits: int = 20,
+    partitions: int | None = None,
+    stage: str | None = None,
 ) -> DataFrame:
     """Give rows without ``ts`` a date from their neighbours in the same place.
 
-    Inside each ``keys`` group, in ``order_by`` order (unique and not NULL; leading column an integer
-    or a timestamp): the nearest earlier row with a date, plus one day per row in between; if there is
-    none, the nearest later one, minus one day per row. Filled values are midnights.
+    Inside each ``keys`` group, in ``order_by`` order (unique and not NULL, of any types): the nearest earlier row with a date, plus
+    one day per row in between; if there is none, the nearest later one, minus one day per row. Filled values are midnights.
 
-    A place may hold a large share of all rows, so no task ever sees a whole place. Every group is
-    cut into chunks of ``2 ** chunk_bits`` leading order values; windows run inside chunks, each chunk is summed up in one row
-    (row count, first and last known date with their positions), the summaries are scanned per
-    group, and the result is joined back to fill rows at the chunks' edges.
+    A place may hold a large share of all rows, so no task ever sees a whole place: rows are dealt by ranges (``partitions``
+    of them, by default the session's shuffle partitions), windows run inside a place and part, and dates are carried from
+    part to part by :func:`date_edges`. Only places, order columns and dates are sorted; the dates found, for rows without one alone, are then
+    joined to the whole rows. The ranges are written under ``stage`` (default: a new folder in the shared one), which the result reads.
     """
-    lead = order_by[0]
-    keyed = df.withColumns({
-        "_key": F.struct(*keys),           # a struct is never NULL, so NULL places group and join
-        "_chunk": _chunk_of(df, lead, chunk_bits),
-    })
-    part = W.partitionBy("_key", "_chunk")
-    forward = part.orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
-    backward = part.orderBy(*[F.col(c).desc_nulls_last() for c in order_by])
-    so_far = (W.unboundedPreceding, W.currentRow)
-
-    # One summary row per chunk, from a narrow projection of the same input.
-    known_at = F.when(F.col("ts").isNotNull(), F.struct("_pos", "ts"))
-    summary = (
-        keyed.select("_key", "_chunk", *dict.fromkeys(order_by), "ts")
-        .withColumn("_pos", F.row_number().over(forward))
-        .groupBy("_key", "_chunk")
-        .agg(F.count("*").alias("_rows"), F.min(known_at).alias("_first"),
-             F.max(known_at).alias("_last"))
-    )
-    by_chunk = W.partitionBy("_key").orderBy("_chunk")
-    by_chunk_back = W.partitionBy("_key").orderBy(F.col("_chunk").desc())
-    before = (W.unboundedPreceding, -1)
-    shifted = summary.withColumn(
-        "_offset", F.coalesce(F.sum("_rows").over(by_chunk.rowsBetween(*before)), F.lit(0)),
-    )
-    edge = lambda end: F.when(F.col(end).isNotNull(), F.struct(
-        (F.col("_offset") + F.col(f"{end}._pos")).alias("pos"), F.col(f"{end}.ts").alias("ts")))
-    edges = shifted.select(
-        "_key", "_chunk", "_offset",
-        F.last(edge("_last"), ignorenulls=True).over(by_chunk.rowsBetween(*before)).alias("_carry"),
-        F.last(edge("_first"), ignorenulls=True).over(by_chunk_back.rowsBetween(*before)).alias("_ahead"),
-    )
-
-    # Windows inside a chunk. The later neighbour is read on the reversed order: a frame that
-    # ends at the last row would be re-evaluated for every row.
-    here = F.when(F.col("ts").isNotNull(), F.struct(F.col("_pos").alias("pos"), "ts"))
-    local = (
-        keyed.withColumn("_pos", F.row_number().over(forward).cast("long"))
-        .withColumn("_prev", F.last(here, ignorenulls=True).over(forward.rowsBetween(*so_far)))
-        .withColumn("_next", F.last(here, ignorenulls=True).over(backward.rowsBetween(*so_far)))
-    )
+    dealt = deal_dates(df, order_by, keys, stage or scratch_path(df.sparkSession, "dates"), partitions)
+    here = F.when(F.col("ts").isNotNull(), F.struct("_pos", "ts"))
+    # The later neighbour is read on the reversed order: a frame that ends at the last row would be re-evaluated for every row.
+    ways = [W.partitionBy("_key", "_part").orderBy(F.col("_pos").asc()), W.partitionBy("_key", "_part").orderBy(F.col("_pos").desc())]
+    near = [F.last(here, ignorenulls=True).over(way.rowsBetween(W.unboundedPreceding, W.currentRow)) for way in ways]
+    gaps = (dealt.withColumns({"_prev": near[0], "_next": near[1]}).where(F.col("ts").isNull())
+            .join(date_edges(dealt), ["_key", "_part"]))
     at = F.col("_offset") + F.col("_pos")
-    in_group = lambda near: F.when(F.col(near).isNotNull(), F.struct(
-        (F.col("_offset") + F.col(f"{near}.pos")).alias("pos"), F.col(f"{near}.ts").alias("ts")))
-    prev, later = F.coalesce(in_group("_prev"), "_carry"), F.coalesce(in_group("_next"), "_ahead")
-    away = lambda near: F.date_add(
-        F.to_date(near.getField("ts")), (at - near.getField("pos")).cast("int")).cast("timestamp")
-    filled = local.join(edges, ["_key", "_chunk"], "left").withColumn(
-        "ts", F.coalesce("ts", away(prev), away(later)))
-    return filled.select(*df.columns)
+    away = lambda found: F.date_add(
+        F.to_date(found.getField("ts")), (at - found.getField("_pos")).cast("int")).cast("timestamp")
+    prev, later = F.coalesce(_moved("_prev"), "_carry"), F.coalesce(_moved("_next"), "_ahead")
+    found = gaps.select("_key", *dict.fromkeys(order_by), F.coalesce(away(prev), away(later)).alias("_filled"))
+    filled = df.withColumn("_key", F.struct(*keys)).join(found, ["_key", *dict.fromkeys(order_by)], "left")
+    return filled.withColumn("ts", F.coalesce("ts", "_filled")).select(*df.columns)
 
 
 # ---------------------------------------------------------------------------

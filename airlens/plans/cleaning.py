@@ -26,13 +26,15 @@ def clean_readings(
     The medians need the deduplicated rows more than once, so these are written to ``stage``
     (a fresh path in the shared folder by default) and read back column by column.
     """
+    stage = stage or scratch_path(df.sparkSession, "guarded")
     filled = (
         df.transform(clean.fill_country, city_lookup)
         .transform(clean.fill_city, country_lookup)
-        .transform(clean.fill_missing_date, order_by)
+        .transform(clean.fill_missing_date, order_by, stage=f"{stage}__dates")
     )
     guarded = filled.transform(clean.dedup_daily, order_by).transform(clean.guard_ranges, mode)
-    guarded = materialized(guarded, stage or scratch_path(df.sparkSession, "guarded"))
+    guarded = materialized(guarded, stage)
+    discard(df.sparkSession, f"{stage}__dates")
     return (guarded.transform(impute.impute_median, approx=approx)
             .transform(impute.impute_aqi).transform(enrich.enrich))
 

@@ -29,9 +29,9 @@ def brute_fill(rows):
     return out
 
 
-@pytest.mark.parametrize("bits", [0, 3, 20])
-def test_fill_missing_date_matches_brute_force(spark, bits):
-    """A hot place, NULL places and long runs of missing dates, over chunks of any size."""
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_fill_missing_date_matches_brute_force(spark, parts):
+    """A hot place, NULL places and long runs of missing dates, over any number of ranges."""
     rng = random.Random(7)
     rows = []
     for i in range(600):
@@ -39,7 +39,7 @@ def test_fill_missing_date_matches_brute_force(spark, bits):
         known = rng.random() < (0.1 if place == ("A", "hot") else 0.5)
         rows.append((i, *place, datetime(2024, 1, 1, 5) + timedelta(days=rng.randrange(300)) if known else None))
     df = spark.createDataFrame(rows, "id long, country string, city string, ts timestamp").repartition(5)
-    got = {r["id"]: r["ts"] for r in clean.fill_missing_date(df, ["id"], chunk_bits=bits).collect()}
+    got = {r["id"]: r["ts"] for r in clean.fill_missing_date(df, ["id"], partitions=parts).collect()}
     assert got == brute_fill(rows)
 
 
@@ -49,8 +49,19 @@ def test_fill_missing_date_by_timestamp_order(spark):
     df = spark.createDataFrame(rows, "seen timestamp, country string, city string, ts timestamp")
     got = [r["ts"] for r in clean.fill_missing_date(df, ["seen"]).orderBy("seen").collect()]
     assert got == [at("2023-05-05 10:00:00"), at("2023-05-06"), at("2023-05-07")]
-    with pytest.raises(ValueError):
-        clean.fill_missing_date(df, ["city"])
+    texts = df.withColumn("seen", F.date_format("seen", "ss"))     # an order of any type
+    assert [r["ts"] for r in clean.fill_missing_date(texts, ["seen"]).orderBy("seen").collect()] == got
+
+
+def test_fill_missing_date_sums_up_by_rows(spark, tmp_path):
+    """Places are cut by rows, not by values: a second a row apart or all at once, a place has a summary per range."""
+    for name, seen in (("apart", F.timestamp_seconds(F.col("id") * 3600)), ("crowded", F.timestamp_micros(F.col("id")))):
+        df = spark.range(20_000).select("id", seen.alias("seen"), F.lit("A").alias("country"), F.when(F.col("id") % 100 > 0, "hot").alias("city"),
+                                        F.when(F.col("id") % 7 == 0, F.timestamp_seconds("id")).alias("ts"))
+        dealt = clean.deal_dates(df, ["seen", "id"], ["country", "city"], str(tmp_path / name), 8)
+        edges = clean.date_edges(dealt)
+        assert 8 <= edges.count() <= 9                      # a row per range, and one more where a range has both places
+        assert max(r["count"] for r in dealt.groupBy("_part").count().collect()) < 2 * 20_000 / 8
 
 
 def test_fill_places_from_maps_and_tables(spark):
