@@ -9,7 +9,7 @@ from airlens.catalog.registry import query
 from airlens.functions import clean_number, norm_city, norm_country, parse_ts
 from airlens.operators import standardize as ST
 from airlens.operators.validate import split_valid
-from airlens.shared import scratch_path
+from airlens.shared import materialized, scratch_path
 from airlens.sinks import write_validated
 from airlens.sources import files, messages as M
 from airlens.sources.readings import ORDER, readings
@@ -101,6 +101,29 @@ def t1_06_wide(spark, sf):
     return M.encode_records(readings(spark, sf).select(F.expr(_WIDE).alias("value")))
 
 
+_BROKEN_LINES = '''CASE WHEN l_linenumber = 2 THEN l_orderkey || ',"first' || chr(10) || 'second, ""third""",x'
+  WHEN l_linenumber = 3 THEN l_orderkey || ',"' || chr(10) || chr(10) || 'a"b,"' || chr(10) || '"'
+  WHEN l_linenumber = 4 THEN l_orderkey || ',inch 5",x' WHEN l_linenumber = 5 THEN '"' || l_orderkey || '"y,"",'
+  ELSE l_orderkey || ',plain,x' END'''
+
+
+@query("t1_06_encode_multiline", sql.chain(last="""SELECT '{"id":"' || CASE WHEN l_linenumber = 5 THEN l_orderkey || 'y' ELSE CAST(l_orderkey AS VARCHAR) END
+  || '","text":"' || CASE l_linenumber WHEN 2 THEN 'first\\nsecond, \\"third\\"' WHEN 3 THEN '\\n\\nab' WHEN 4 THEN 'inch 5\\"' WHEN 5 THEN '' ELSE 'plain' END
+  || '","x":' || CASE l_linenumber WHEN 3 THEN '"\\n"' WHEN 5 THEN '""' ELSE '"x"' END || '}' AS value FROM readings"""))
+def t1_06_multiline(spark, sf):
+    """Files of records with line breaks in quoted cells, read in splits of 64 KB."""
+    folder, limit = scratch_path(spark, "multiline"), "spark.sql.files.maxPartitionBytes"
+    text = readings(spark, sf).select(F.expr(_BROKEN_LINES).alias("value"))
+    text.write.text(f"{folder}/in")
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "65536")
+    try:
+        records = materialized(files.read_records(spark, f"{folder}/in"), f"{folder}/records")
+    finally:
+        spark.conf.set(limit, before)
+    return M.encode_records(records, header="id,text,x")
+
+
 # --- files -----------------------------------------------------------------------------
 _MEASURED = ", ".join(f'{snake} AS "{raw}"' for raw, (snake, _) in C.HEADERS.items())
 

@@ -1,11 +1,14 @@
 import csv
+import io
 import json
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from airlens import config as C, schema as S
 from airlens.operators.standardize import standardize
-from airlens.sources import encode_records, read_csv, read_jsonl, read_lines
+from airlens.sources import encode_records, read_csv, read_jsonl, read_lines, read_records
 from tests.helpers import HEADER, NOISE, at, tuples
 
 
@@ -60,3 +63,55 @@ def test_encode_records_as_csv_does(spark, tmp_path):
     (tmp_path / "h.csv").write_text("Date,City\nDate,City\n  x ,\"y\"\n")
     rows = encode_records(read_lines(spark, str(tmp_path / "h.csv"), header=True), "Date,City").collect()
     assert [json.loads(r["value"]) for r in rows] == [{"Date": "Date", "City": "City"}, {"Date": "  x ", "City": "y"}]
+
+
+@pytest.fixture
+def small_splits(spark):
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {name: spark.conf.get(name) for name in names}
+    for name in names:
+        spark.conf.set(name, "40")
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def test_records_across_line_breaks_as_csv_reads_them(spark, tmp_path, small_splits):
+    """Files of random pieces, read in splits of 40 bytes: quotes open and close anywhere, records span splits."""
+    rng, pieces = random.Random(5), ['"', '""', '"', ",", "\n", "\n", "ab", "c d", "é", 'x"y', '","', '"\n"', "\n\n", "long words without any quote"]
+    for case in range(6):
+        folder, want = tmp_path / str(case), []
+        folder.mkdir()
+        for name in "ab":
+            text = "".join(rng.choice(pieces) for _ in range(rng.randrange(150)))
+            if not next(_records(text + "\n"))[1]:
+                text += '"'
+            (folder / f"{name}.csv").write_text(text + "\n", encoding="utf-8")
+            want += [row for row, _ in _records(text + "\n")]
+        frame = read_records(spark, str(folder))
+        got = [json.loads(r["value"]) for r in encode_records(frame).collect()]
+        key = lambda row: json.dumps(row, sort_keys=True)
+        assert sorted(got, key=key) == sorted(({f"c{i}": cell for i, cell in enumerate(row)} for row in want), key=key)
+
+
+def _records(text):
+    """Rows as the csv module reads them, and whether the last one is closed; one that is open loses the file's last line break."""
+    rows = list(csv.reader(io.StringIO(text, newline="")))
+    closed = True
+    if rows and rows[-1] and rows[-1][-1].endswith("\n"):
+        again = list(csv.reader(io.StringIO(text[:-1] + '"\n', newline="")))
+        if len(again) == len(rows) and again[-1][-1] == rows[-1][-1][:-1]:
+            closed, rows = False, again
+    for row in rows:
+        yield row, closed
+
+
+def test_records_header_limits_and_empty_files(spark, tmp_path, small_splits):
+    for name in ("one", "two"):
+        (tmp_path / f"{name}.csv").write_text('"id\nof it",text\r\n1,"a\r\nb"\r\n2,c\r\n')
+    (tmp_path / "empty.csv").write_text("")
+    got = [r["value"] for r in read_records(spark, str(tmp_path), header=True).collect()]
+    assert sorted(got) == ['1,"a\nb"'] * 2 + ["2,c"] * 2
+    (tmp_path / "open.csv").write_text('x,"' + "\n" * 30)
+    with pytest.raises(Exception, match="more than 5 lines"):
+        read_records(spark, str(tmp_path / "open.csv"), most_lines=5).collect()
