@@ -7,7 +7,7 @@ sum(t_i + 1) = r + 1. Correlated bits go to the same part, so that parts are as
 as the data allow. How many candidates part i costs at threshold t is estimated from all fingerprints: pairs
 that agree on it are counted, and the count is scaled by the chance that independent bits with these means
 differ in at most t places. Dynamic programming deals the r + 1 units to parts; the number of parts is
-chosen by the same cost. Every row is indexed by its parts and probes them with all values within t_i, and
+chosen by the same cost. Both are done for a declared number of fingerprints, not the table's own. Every row is indexed by its parts and probes them with all values within t_i, and
 candidates are verified by their full distance inside the join. Half the radius is taken first, so that a dense
 group is one component, or a few, before its wider links are looked for.
 
@@ -31,6 +31,8 @@ BITS = 64
 PARTS = (2, 3, 4, 5)
 #: cost of a probe against that of a candidate pair
 PROBE_COST = 4.0
+#: fingerprints the plan is made for, whatever the table's size: rows per fingerprint do not change as a table grows
+PLANNED = 10_000_000
 STEP = 200_000
 
 
@@ -149,15 +151,16 @@ def statistics(fps: DataFrame) -> tuple[int, np.ndarray, dict, dict]:
     return n, np.diag(both) / max(1, n), choices, same
 
 
-def plan(known: tuple[int, np.ndarray, dict, dict], radius: int) -> list[tuple[list[int], int]]:
-    """(bits, threshold) of each part that is probed."""
+def plan(known: tuple[int, np.ndarray, dict, dict], radius: int, planned: int = PLANNED) -> list[tuple[list[int], int]]:
+    """(bits, threshold) of each part that is probed, for ``planned`` fingerprints that agree on parts as often as these do."""
     n, mean, choices, same = known
+    share, n = {k: pairs / max(1, n * (n - 1)) for k, pairs in same.items()}, planned
     best = None
     for m, parts in choices.items():
         costs = []
         for k, part in enumerate(parts):
             chance = near_chances(mean, part, radius)
-            pairs = max(same.get((m, k), 0.0), n * n * chance[0])
+            pairs = n * n * max(share.get((m, k), 0.0), chance[0])
             costs.append([0.0] + [pairs * chance[t] / max(chance[0], 1e-300) + PROBE_COST * n * sum(math.comb(len(part), j) for j in range(t + 1))
                                   for t in range(min(radius, 2) + 1)])
         if radius + 1 <= 3 * m:
