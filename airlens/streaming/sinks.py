@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from airlens.operators.clean import first_per_key
-from airlens.shared import discard, hadoop
+from airlens.shared import discard
+from airlens.sinks.versions import batches, complete, merge, merged_upto, write_complete
 
 EVERY_10_SECONDS = {"processingTime": "10 seconds"}
 
@@ -72,81 +73,26 @@ def to_snapshot(df: DataFrame, path: str, checkpoint: str, mode: str = "append",
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if batch_id > _merged_upto(spark, path) and batch_id not in _complete(spark, path, "batch_id"):
-            _write_complete(batch, f"{path}/batch_id={batch_id}")
+        if batch_id > merged_upto(spark, path) and batch_id not in complete(spark, path, "batch_id"):
+            write_complete(batch, f"{path}/batch_id={batch_id}")
         else:                               # stored already; it runs for the query's state alone
             batch.write.format("noop").mode("overwrite").save()
         if mode == "complete" and batch_id >= keep:
             discard(spark, f"{path}/batch_id={batch_id - keep}")
         elif mode != "complete" and (batch_id + 1) % merge_every == 0:
-            _merge(spark, path, batch_id, keys if mode == "update" else ())
+            merge(spark, path, batch_id, keys if mode == "update" else ())
 
     return _start(df.writeStream.outputMode(mode).foreachBatch(write), trigger, checkpoint)
 
 
-#: an empty file that makes a folder count
-MARKER = "_complete"
-
-
-def _write_complete(df: DataFrame, folder: str) -> None:
-    df.write.mode("overwrite").parquet(folder)
-    marker, files = hadoop(df.sparkSession, f"{folder}/{MARKER}")
-    files.create(marker, True).close()
-
-
-def _complete(spark: SparkSession, path: str, name: str) -> list[int]:
-    """Numbers of the complete ``name=`` folders, in order; only folders are listed."""
-    pattern, files = hadoop(spark, f"{path}/{name}=*/{MARKER}")
-    return sorted(int(found.getPath().getParent().getName().removeprefix(f"{name}=")) for found in files.globStatus(pattern) or [])
-
-
-def _merged_upto(spark: SparkSession, path: str) -> int:
-    return max(_complete(spark, f"{path}__merged", "upto"), default=-1)
-
-
-def _batches(spark: SparkSession, path: str, after: int, last: int | None = None) -> DataFrame | None:
-    """Rows of complete batches with their ``batch_id``."""
-    found = [n for n in _complete(spark, path, "batch_id") if n > after and (last is None or n <= last)]
-    if not found:
-        return None
-    rows = spark.read.option("basePath", path).parquet(*[f"{path}/batch_id={n}" for n in found])
-    return rows.withColumn("batch_id", F.col("batch_id").cast("long"))
-
-
-def _merge(spark: SparkSession, path: str, last: int, keys: Sequence[str]) -> None:
-    """Batches up to ``last`` that no merge holds yet as one folder ``upto=`` beside ``path``; with ``keys`` the newest rows of
-    the version before and of these batches.
-
-    Readers go by the newest complete folder, so one that broke off is written again and loses or doubles nothing. What it
-    replaces stays until the next merge, for readers who have listed it.
-    """
-    merged = f"{path}__merged"
-    before = _merged_upto(spark, path)
-    if before >= last:
-        return
-    rows = _batches(spark, path, before, last)
-    if keys and before >= 0:
-        rows = rows.unionByName(spark.read.parquet(f"{merged}/upto={before}"))
-    if keys:
-        rows = first_per_key(rows, keys, [F.desc("batch_id")])
-    _write_complete(rows.hint("rebalance"), f"{merged}/upto={last}")
-    for batch_id in _complete(spark, path, "batch_id"):
-        if batch_id <= before:
-            discard(spark, f"{path}/batch_id={batch_id}")
-    if keys:
-        for version in _complete(spark, merged, "upto"):
-            if version < before:
-                discard(spark, f"{merged}/upto={version}")
-
-
 def read_snapshot(spark: SparkSession, path: str, mode: str = "append",
                   keys: Sequence[str] = ()) -> DataFrame:
     """Current result of :func:`to_snapshot`: all batches, newest row per key (``update``), or last batch (``complete``)."""
     if mode == "complete":
-        newest = max(_complete(spark, path, "batch_id"), default=None)
+        newest = max(complete(spark, path, "batch_id"), default=None)
         return spark.read.parquet(path if newest is None else f"{path}/batch_id={newest}")
-    versions = _complete(spark, f"{path}__merged", "upto")
-    rows = _batches(spark, path, max(versions, default=-1))
+    versions = complete(spark, f"{path}__merged", "upto")
+    rows = batches(spark, path, max(versions, default=-1))
     if versions:
         merged = spark.read.parquet(*[f"{path}__merged/upto={n}" for n in versions])
         rows = merged if rows is None else rows.unionByName(merged)

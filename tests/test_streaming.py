@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from airlens import config as C, schema as S
 from airlens.operators import enrich as E, windows as W
 from airlens.sources import kafka_options, kafka_source, stream_json
+from airlens.sinks import versions
 from airlens.streaming import sinks
 from airlens.streaming.dedup import dedup_daily_stream
 from airlens.streaming.ingest import preview, start_ingest
@@ -115,7 +116,7 @@ def test_snapshot_ignores_half_written_folders(spark, feed, tmp_path):
     out, keys = str(tmp_path), ["window_start", "city", "country"]
     run(sinks.to_snapshot(W.city_metrics(stream_json(spark, feed)), f"{out}/d", f"{out}/c", "update", ALL, merge_every=3, keys=keys))
     want = tuples(sinks.read_snapshot(spark, f"{out}/d", "update", keys))
-    kept = sinks._complete(spark, f"{out}/d__merged", "upto")
+    kept = versions.complete(spark, f"{out}/d__merged", "upto")
     rows = spark.read.parquet(f"{out}/d__merged/upto={kept[-1]}")
     rows.limit(1).write.parquet(f"{out}/d__merged/upto=99")     # broke off before its marker
     rows.drop("batch_id").limit(1).write.parquet(f"{out}/d/batch_id=99")
@@ -123,7 +124,7 @@ def test_snapshot_ignores_half_written_folders(spark, feed, tmp_path):
     assert rows.count() == rows.select(*keys).distinct().count()
     # a version that breaks off is written anew from what it was to replace
     os.remove(f"{out}/d__merged/upto={kept[-1]}/_complete")
-    sinks._merge(spark, f"{out}/d", kept[-1], keys)
+    versions.merge(spark, f"{out}/d", kept[-1], keys)
     assert tuples(sinks.read_snapshot(spark, f"{out}/d", "update", keys)) == want
 
 

@@ -1,10 +1,12 @@
 """Documents, graph and dashboard over tables."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from airlens.operators import dashboard as B, documents as D, graph as G, windows as W
-from airlens.sinks import read_graph, read_target, upsert_by_key, write_graph
+from airlens.sinks import read_graph, read_target, tables, upsert_by_key, write_graph
 from tests.helpers import at, tuples
 
 
@@ -117,6 +119,24 @@ def test_graph_tables(spark, graph_rows, tmp_path, staged):
     assert [r[0] for r in tuples(g["rejects"], "n")] == [6, 7]
 
 
+def test_undated_tables_keep_few_files_over_many_loads(spark, graph_rows, tmp_path, monkeypatch):
+    """Forty loads, each with a city of its own, and each load twice: all cities once, in a bounded number of folders."""
+    base, keys = str(tmp_path / "g"), G.KEYS["city"]
+    city = G.build_graph(graph_rows, ["n"])["city"]
+    for n in range(40):
+        named = spark.createDataFrame([("F", "Paris"), ("L", f"city {n}")], "country string, city string")
+        table = named.select(*[F.col(c) if c in named.columns else F.lit(None).cast("string").alias(c) for c in city.columns])
+        for _ in range(2 if n % 5 == 0 else 1):
+            tables._add_keyed(table, base, keys)
+    stored = tables._keyed(spark, base)
+    assert stored.count() == 41 == stored.select(*keys).distinct().count()
+    folders = os.listdir(base) + os.listdir(f"{base}__merged")
+    assert len(folders) <= 2 * tables.MERGE_LOADS + 2
+    # a load that broke off before its marker is not there, and the next one takes its place
+    table.write.parquet(f"{base}/batch_id=40")
+    assert tables._keyed(spark, base).count() == 41
+
+
 def test_graph_queries(graph_rows):
     g = G.build_graph(graph_rows, ["n"])
     top = G.top_cities_by_avg_aqi(g, "2024-01-01", "2024-01-02", k=2)
