@@ -11,11 +11,11 @@ from airlens.catalog import sql
 from airlens.catalog.inputs import enriched, messages, raw_sql
 from airlens.catalog.registry import query
 from airlens.catalog.rows import ALERTS
-from airlens.operators import dashboard as B, risk as R, windows as W
+from airlens.operators import clean, dashboard as B, risk as R, windows as W
 from airlens.shared import discard, materialized, scratch_path
 from airlens.sources import stream_json
 from airlens.sources.messages import decode_raw, decode_typed
-from airlens.sources.readings import table
+from airlens.sources.readings import ORDER, places, readings, table
 from airlens.streaming import sinks
 from airlens.streaming.dedup import dedup_daily_stream
 from airlens.streaming.live import results, start_live
@@ -159,13 +159,15 @@ _EVENT_TURN = ("CASE WHEN ts < TIMESTAMP '2024-01-08 00:00:00' THEN 0 WHEN ts <
                "WHEN ts < TIMESTAMP '2024-01-24 00:00:00' THEN 2 ELSE 3 END + CASE WHEN user_id % 10 = 3 THEN 1 ELSE 0 END")
 
 
-def _in_turns(spark, name, rows, turn, turns, start):
+def _in_turns(spark, name, rows, turn, turns, start, before=None):
     """Rows reach a stream turn by turn: each turn's files are there before ``start(stream)`` goes on from its checkpoint, and
-    it has used them up, and closed what the watermark closes, before the next ones come."""
+    it has used them up, and closed what the watermark closes, before the next ones come. ``before(turn)`` comes first."""
     folder = scratch_path(spark, f"{name}-input")
     staged = materialized(rows.withColumn("_turn", F.expr(turn)), f"{folder}/staged")
     shape = staged.drop("_turn").schema
     for number in range(turns):
+        if before:
+            before(number)
         staged.where(F.col("_turn") == number).drop("_turn").write.json(f"{folder}/in-{number}")
         _run(start(stream_json(spark, f"{folder}/in-*", shape, max_files_per_trigger=1000)))
     discard(spark, folder)
@@ -222,6 +224,40 @@ def c14_late(spark, sf):
     return spark.read.parquet(f"{out}/data").select("city", "country", "event_date")
 
 
+_GROWN = [("dealt", f"SELECT *, {_TURN} AS turn FROM readings"),
+          ("known", "SELECT s_name AS p_city, s_suppkey, CASE n_regionkey WHEN 0 THEN 'USA' WHEN 1 THEN 'France' WHEN 2 THEN 'India' "
+                    "WHEN 3 THEN 'Brazil' ELSE 'Egypt' END AS p_country FROM supplier JOIN nation ON s_nationkey = n_nationkey"),
+          ("placed", "SELECT d.* REPLACE (coalesce(d.country, p_country) AS country) FROM dealt d "
+                     "LEFT JOIN known ON p_city = d.city AND s_suppkey % 4 <= turn"),
+          ("bound", f"SELECT *, CASE WHEN country IS NULL OR country = 'Brazil' AND turn = 0 THEN {C.GUARD_TEMP_FALLBACK[0]} ELSE -20 - 5 * turn - length(country) END AS low, "
+                    f"CASE WHEN country IS NULL OR country = 'Brazil' AND turn = 0 THEN {C.GUARD_TEMP_FALLBACK[1]} ELSE 50 + 5 * turn - length(country) END AS high FROM placed")]
+
+
+@query("c15_c10_lookups_stream", sql.chain(*_GROWN, last=(
+    f"SELECT {sql.KEYS}, city, country, CASE WHEN temp_c < low OR temp_c > high THEN NULL ELSE temp_c END AS temp_c FROM bound")))
+def lookups_stream(spark, sf):
+    """Cities and temperature bounds as tables that are replaced before each turn: a reading meets those of its own turn."""
+    out = scratch_path(spark, "lookups-stream")
+    cities = places(spark, sf).groupBy("city").agg(F.min("country").alias("country"), F.min("s_suppkey").alias("k"))
+    limit = lambda base, n: (F.lit(base + n) - F.length("country")).cast("double")
+
+    def replace(number):
+        cities.where(F.col("k") % 4 <= number).drop("k").write.parquet(f"{out}/cities-{number}")
+        bounds = cities.select("country").distinct().where((F.col("country") != "Brazil") | F.lit(number > 0))
+        bounds.select("country", limit(-20, -5 * number), limit(50, 5 * number)).toDF("country", "low", "high").write.parquet(f"{out}/bounds-{number}")
+        turn.append(number)
+
+    def start(stream):
+        now = lambda name: spark.read.parquet(f"{out}/{name}-{turn[-1]}")
+        cleaned = stream.transform(clean.fill_country, now("cities")).transform(clean.guard_temp, bounds=now("bounds"))
+        return sinks.to_parquet(cleaned, f"{out}/data", f"{out}/checkpoint", ALL)
+
+    turn = []
+    rows = readings(spark, sf).select(*ORDER, "ts", "city", "country", "temp_c")
+    _in_turns(spark, "lookups-stream", rows, _TURN, 4, start, replace)
+    return spark.read.parquet(f"{out}/data").select(*ORDER, "city", "country", "temp_c")
+
+
 # --- message sinks ------------------------------------------------------------------
 def _message_stream(spark, sf, name):
     folder = scratch_path(spark, f"{name}-input")

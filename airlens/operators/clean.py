@@ -167,12 +167,21 @@ def _repair(value: Column, low: Column | None, high: Column | None, mode: str) -
 def guard_temp(
     df: DataFrame,
     mode: str = "nullify",
-    bounds: Mapping[str, tuple[float, float]] = C.GUARD_TEMP_BOUNDS,
+    bounds: DataFrame | Mapping[str, tuple[float, float]] = C.GUARD_TEMP_BOUNDS,
     fallback: tuple[float, float] = C.GUARD_TEMP_FALLBACK,
 ) -> DataFrame:
-    """Temperature inside its country's bounds; unknown or missing country: ``fallback``."""
+    """Temperature inside its country's bounds; unknown or missing country: ``fallback``.
+
+    ``bounds`` as a table has a country (unique), its lower and its upper bound (NULL: the fallback's). It is joined like other
+    lookups, on a stream too, which sees the table as it is when the query starts.
+    """
     if "temp_c" not in df.columns:
         return df
+    if isinstance(bounds, DataFrame):
+        side = bounds.select(*[F.col(c).alias(name) for c, name in zip(bounds.columns, ("_at", "_low", "_high"))])
+        limit = [F.coalesce(F.col(name), F.lit(end)) for name, end in zip(("_low", "_high"), fallback)]
+        return (df.join(side, F.col("country") == F.col("_at"), "left")
+                .withColumn("temp_c", _repair(F.col("temp_c"), *limit, mode)).drop("_at", "_low", "_high"))
     limit = [
         F.coalesce(F.element_at(_literal_map({k: b[side] for k, b in bounds.items()}), F.col("country")),
                    F.lit(fallback[side]))
@@ -198,7 +207,8 @@ def guard_nonneg(df: DataFrame, mode: str = "nullify",
     })
 
 
-def guard_ranges(df: DataFrame, mode: str = "nullify") -> DataFrame:
-    """All three guards."""
-    return (df.transform(guard_temp, mode).transform(guard_humidity, mode)
+def guard_ranges(df: DataFrame, mode: str = "nullify",
+                 bounds: DataFrame | Mapping[str, tuple[float, float]] = C.GUARD_TEMP_BOUNDS) -> DataFrame:
+    """All three guards; ``bounds`` are those of temperatures."""
+    return (df.transform(guard_temp, mode, bounds).transform(guard_humidity, mode)
             .transform(guard_nonneg, mode))

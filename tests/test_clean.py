@@ -64,6 +64,20 @@ def test_fill_missing_date_sums_up_by_rows(spark, tmp_path):
         assert max(r["count"] for r in dealt.groupBy("_part").count().collect()) < 2 * 20_000 / 8
 
 
+def test_guard_temp_by_a_table_as_by_a_map(spark):
+    rows = [(n, country, temp) for n, (country, temp) in enumerate(
+        (country, temp) for country in ("France", "Egypt", "Nowhere", None) for temp in (-90.0, -5.0, 30.0, 49.0, 80.0, None))]
+    df = spark.createDataFrame(rows, "n int, country string, temp_c double")
+    bounds = {"France": (-10.0, 40.0), "Egypt": (0.0, 50.0)}
+    table = spark.createDataFrame([(k, *v) for k, v in bounds.items()], "place string, lowest double, highest double")
+    for mode in ("nullify", "clip"):
+        assert tuples(clean.guard_temp(df, mode, table)) == tuples(clean.guard_temp(df, mode, bounds))
+        assert clean.guard_temp(df, mode, table).columns == df.columns
+    half = spark.createDataFrame([("France", None, 40.0)], "place string, lowest double, highest double")
+    assert tuples(clean.guard_temp(df.where("country = 'France'"), "nullify", half, (-95.0, 1.0)), "temp_c") == sorted(
+        [(-90.0,), (-5.0,), (30.0,), (None,), (None,), (None,)], key=repr)
+
+
 def test_fill_places_from_maps_and_tables(spark):
     rows = [(1, " cairo", None), (2, None, "France"), (3, None, None), (4, "Oslo", None), (5, "Paris", "USA")]
     df = spark.createDataFrame(rows, "id int, city string, country string")

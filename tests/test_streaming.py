@@ -209,6 +209,25 @@ def test_repeated_raw_batch_replaces_its_folder(spark, sent, tmp_path):
     assert spark.read.option("header", True).option("quote", "").csv(str(tmp_path / "raw")).count() == 6
 
 
+@pytest.mark.parametrize("sink", ["parquet", "json", "raw_csv"])
+def test_replayed_file_batch_doubles_nothing(spark, feed, tmp_path, sink):
+    """The newest batch runs again from the checkpoint, as after a crash between the sink's write and the commit."""
+    out = str(tmp_path)
+    stream = lambda: stream_json(spark, feed).select(F.col("ts").cast("string"), "city", F.col("AQI").cast("string"))
+    more = {"day": F.lit("2024-01-01").cast("date")} if sink == "raw_csv" else {}
+    start = lambda: run(getattr(sinks, f"to_{sink}")(stream(), f"{out}/d", f"{out}/c", ALL, **more))
+    shape = "ts string, city string, AQI string"
+    read = {"parquet": lambda: spark.read.parquet(f"{out}/d"), "json": lambda: spark.read.schema(shape).json(f"{out}/d"),
+            "raw_csv": lambda: spark.read.option("header", True).csv(f"{out}/d")}[sink]
+    start()
+    want, last = tuples(read().select("ts", "city", "AQI")), max(int(n) for n in os.listdir(f"{out}/c/commits") if n.isdigit())
+    os.remove(f"{out}/c/commits/{last}")
+    os.remove(f"{out}/c/commits/.{last}.crc")
+    start()
+    assert os.path.exists(f"{out}/c/commits/{last}")
+    assert tuples(read().select("ts", "city", "AQI")) == want and len(want) == table(spark, feed).count()
+
+
 def test_memory_and_console(spark, feed):
     stream = stream_json(spark, feed, max_files_per_trigger=100)
     run(sinks.to_console(stream.select("city"), rows=2, trigger=ALL),
