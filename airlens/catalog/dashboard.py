@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from airlens.catalog import sql
 from airlens.catalog.inputs import enriched
-from airlens.catalog.live import CITY_SQL, COUNTRY_SQL, DAY
-from airlens.catalog.registry import query
+from airlens.catalog.live import CITY_SQL, COUNTRY_SQL, DAY, _live, _stored_stats
+from airlens.catalog.registry import ORACLES, query
 from airlens.catalog.rows import ALERTS
 from airlens.operators import dashboard as B, risk as R, windows as W
 from airlens.sources.readings import ORDER
@@ -81,3 +81,21 @@ def d07(spark, sf):
     "(SELECT count(*) FROM readings WHERE AQI > 200) AS critical_alerts FROM stats")))
 def d08(spark, sf):
     return B.summary(_stats(spark, sf), _alerts(spark, sf))
+
+
+# --- the same over stored results of streams ----------------------------------------------
+@query("d06_from_stream", ORACLES["d06_risk_distribution"])
+def d06_from_stream(spark, sf):
+    return B.risk_distribution(_live(spark, sf, "d06-live", ["health_alerts"])["health_alerts"])
+
+
+@query("d07_from_stream", ORACLES["d07_aqi_histogram"])
+def d07_from_stream(spark, sf):
+    return B.aqi_histogram(_stored_stats(spark, sf, "d07-live")).withColumns({
+        c: F.round(c, 6) for c in ("bin_start", "bin_end")})
+
+
+@query("d08_from_stream", ORACLES["d08_summary"])
+def d08_from_stream(spark, sf):
+    stored = _live(spark, sf, "d08-live", ["city_stats", "health_alerts"])
+    return B.summary(stored["city_stats"].withColumn("avg_aqi", F.round("avg_aqi", 6)), stored["health_alerts"])

@@ -1,10 +1,11 @@
 """Graph queries: node and edge tables, top cities, pollution drivers."""
 
-from airlens import config as C
+from airlens import schema as S
 from airlens.catalog import sql
 from airlens.catalog.inputs import enriched
 from airlens.catalog.registry import query
 from airlens.operators import graph as G
+from airlens.plans.graph import load_graph
 from airlens.shared import discard, scratch_path
 from airlens.sinks import read_graph, write_graph
 from airlens.sources.readings import ORDER
@@ -114,3 +115,52 @@ def k09_rejects(spark, sf):
         write_graph(G.build_graph(part, ORDER, stage=stage), base, batch)
         discard(spark, stage)
     return read_graph(spark, base)["rejects"].select(*ORDER, "country", "city", "batch")
+
+
+# --- queries on a stored graph, filled by two loads ----------------------------------------
+_BY_COLUMNS = ", ".join(f"{c} NULLS FIRST" for c in S.CLEAN.names)
+_OF_LOADS = [*_STEPS, *[(name, f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY country, city, event_date
+  ORDER BY (CASE WHEN {_EARLY} THEN 0 ELSE 1 END), {_BY_COLUMNS}) AS k FROM good) AS r WHERE k = 1""")
+                        for name in ("reading", "compliant")]]
+
+
+def stored_graph(spark, sf, name, loads=("1", "2")):
+    """Clean readings as JSON in two folders, loaded one after the other; read back for the months of the queries only."""
+    base = scratch_path(spark, name)
+    rows = enriched(spark, sf)
+    rows.filter(_EARLY).select(*S.CLEAN.names).write.json(f"{base}/in/1")
+    rows.filter(f"NOT {_EARLY}").select(*S.CLEAN.names).write.json(f"{base}/in/2")
+    for load in loads:
+        load_graph(spark, f"{base}/in/{load}", f"{base}/graph", load)
+    return read_graph(spark, f"{base}/graph", START, END)
+
+
+@query("k09_load_graph", sql.chain(*_OF_LOADS, last=(
+    f"SELECT {', '.join(G.CITY)}, CAST(event_date AS VARCHAR) AS event_date, {', '.join(G.ATTRIBUTES['reading'])} FROM reading "
+    f"WHERE {_WITHIN}")))
+def k09_load(spark, sf):
+    """Readings of the dates along their edges to city, day and compliance; the second load is repeated."""
+    linked = G.linked_readings(stored_graph(spark, sf, "k09-load", ("1", "2", "2")), START, END)
+    return linked.select(*G.READING, *G.ATTRIBUTES["reading"])
+
+
+@query("g03_top_cities_stored", sql.chain(*_OF_LOADS, last=(
+    f"SELECT city, country, {sql.stable('avg(AQI)', 2)} AS avg_aqi FROM reading WHERE {_WITHIN} "
+    "GROUP BY city, country ORDER BY avg_aqi DESC NULLS LAST, city, country LIMIT 5")))
+def g03_stored(spark, sf):
+    stored = stored_graph(spark, sf, "g03-stored")
+    return G.top_cities_by_avg_aqi(stored | {"reading": G.linked_readings(stored, START, END)}, START, END)
+
+
+@query("g04_pollution_driver_stored", sql.chain(*_OF_LOADS, last=_DRIVERS))
+def g04_stored(spark, sf):
+    return G.pollution_driver_of_cities(stored_graph(spark, sf, "g04-stored"), START, END, limit=None)
+
+
+@query("g05_rank_pollutants_stored", sql.chain(*_OF_LOADS, ("drivers", _DRIVERS), last=(
+    "SELECT *, row_number() OVER (PARTITION BY country, city ORDER BY days DESC, list_position("
+    f"['" + "', '".join(G.POLLUTANT_ORDER) + "'], pollutant)) AS pollutant_rank FROM ("
+    + " UNION ALL ".join(f"SELECT country, city, '{p}' AS pollutant, {p} AS days FROM drivers"
+                         for p in G.POLLUTANT_ORDER) + ") AS u")))
+def g05_stored(spark, sf):
+    return G.rank_pollutants(G.pollution_driver_of_cities(stored_graph(spark, sf, "g05-stored"), START, END, limit=None))

@@ -287,23 +287,62 @@ def k03(spark, sf):
 
 
 # --- the dashboard over stored results -------------------------------------------------
-def _live(spark, sf, name):
+def _live(spark, sf, name, names=None, spans=None):
     base = scratch_path(spark, name)
-    started = start_live(_clean_stream(spark, sf, name), base, ALL, preview=False)
+    started = start_live(_clean_stream(spark, sf, name), base, ALL, preview=False, names=names, spans=spans)
     for one in started.values():
         _run(one)
-    return results(spark, base)
+    return results(spark, base, names)
+
+
+_CLOSED_WINDOWS = "WHERE window_end <= (SELECT max(ts) - INTERVAL 2 DAY FROM readings)"
+
+
+@query("d01_from_stream", sql.chain(*sql.ENRICHED, ("m", CITY_SQL), last=(
+    f"SELECT city, country, avg_aqi, max_aqi, who_violations, measurement_count FROM m {_CLOSED_WINDOWS} "
+    "ORDER BY avg_aqi DESC NULLS LAST, city NULLS FIRST, country NULLS FIRST, window_start LIMIT 5")))
+def d01_from_stream(spark, sf):
+    return B.top_cities(_live(spark, sf, "d01-live", ["city_metrics"], {"city_metrics": DAY})["city_metrics"])
+
+
+@query("d02_from_stream", sql.chain(*sql.ENRICHED, ("m", COUNTRY_SQL), last=(
+    f"SELECT country, country_avg_aqi, unhealthy_percentage, hazardous_count FROM m {_CLOSED_WINDOWS} "
+    "ORDER BY country_avg_aqi DESC NULLS LAST, country NULLS FIRST, window_start LIMIT 5")))
+def d02_from_stream(spark, sf):
+    return B.top_countries(_live(spark, sf, "d02-live", ["country_trends"], {"country_trends": DAY})["country_trends"])
 
 
 @query("d03_from_stream", sql.chain(*ALERTS, last=(
     "SELECT city, country, AQI, alert_priority, alert_message FROM alerts WHERE alert_priority <= 3")))
 def d03_from_stream(spark, sf):
-    return _live(spark, sf, "d03-live")["alerts"].select("city", "country", "AQI", "alert_priority", "alert_message")
+    """The whole alert log, as it is stored."""
+    return _live(spark, sf, "d03-live", ["alert_log", "alerts"])["alerts"].select(
+        "city", "country", "AQI", "alert_priority", "alert_message")
+
+
+@query("d03_latest_from_stream", sql.chain(*ALERTS, last=(
+    "SELECT city, AQI, alert_priority, alert_message FROM alerts WHERE alert_priority <= 2 ORDER BY ts DESC NULLS LAST, "
+    "city NULLS FIRST, AQI NULLS FIRST, alert_priority, alert_message NULLS FIRST LIMIT 5")))
+def d03_latest_from_stream(spark, sf):
+    """The newest five stored alerts of priority 1 and 2, by the readings' own clock."""
+    stored = _live(spark, sf, "d03-latest-live", ["health_alerts"])["health_alerts"]
+    return B.latest_alerts(stored, priority=2, clock="ts", ties=("city", "AQI", "alert_priority", "alert_message"))
+
+
+@query("d04_from_stream", sql.chain(*ALERTS, last=(
+    "SELECT city, AQI, health_risk_label FROM alerts ORDER BY ts DESC NULLS LAST, city NULLS FIRST, AQI NULLS FIRST, "
+    "health_risk_label LIMIT 5")))
+def d04_from_stream(spark, sf):
+    stored = _live(spark, sf, "d04-live", ["health_alerts"])["health_alerts"]
+    return B.latest_alerts(stored, clock="ts", ties=("city", "AQI", "health_risk_label"))
+
+
+def _stored_stats(spark, sf, name):
+    return _live(spark, sf, name, ["city_stats"])["city_stats"].withColumn("avg_aqi", F.round("avg_aqi", 6))
 
 
 @query("d05_from_stream", sql.chain(*sql.ENRICHED, last=(
     "SELECT city, country, round(avg(AQI), 6) AS avg_aqi, max(AQI) AS max_aqi, count(*) AS count FROM enriched GROUP BY city, country "
     "ORDER BY avg_aqi DESC NULLS LAST, city NULLS FIRST, country NULLS FIRST LIMIT 10")))
 def d05_from_stream(spark, sf):
-    stats = _live(spark, sf, "d05-live")["city_stats"].withColumn("avg_aqi", F.round("avg_aqi", 6))
-    return B.top_city_stats(stats)
+    return B.top_city_stats(_stored_stats(spark, sf, "d05-live"))

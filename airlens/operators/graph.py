@@ -97,6 +97,31 @@ def pollution_driver_per_city(
     return result if limit is None else result.limit(limit)
 
 
+def linked_readings(graph: dict[str, DataFrame], start: str, end: str) -> DataFrame:
+    """``reading`` from ``start`` to ``end``, followed along its edges: those that their city, their day and their compliance node
+    are all stored for. In a store some tables may hold a load that broke off before others; such readings are left out.
+
+    Edges carry the keys of both ends, so each hop is a semi join on a key; tables read by month prune on all hops.
+    """
+    rows = _between(graph["reading"], start, end)
+    for edge, node in (("has_reading", "city"), ("on_day", "day"), ("has_compliant", "compliant")):
+        ends = _between(graph[node], start, end) if "event_date" in KEYS[node] else graph[node]
+        hop = _between(graph[edge], start, end).join(ends.select(*KEYS[node]), KEYS[node], "left_semi")
+        rows = rows.join(hop.select(*READING), READING, "left_semi")
+    return rows
+
+
+def pollution_driver_of_cities(graph: dict[str, DataFrame], start: str, end: str, limit: int | None = 10) -> DataFrame:
+    """:func:`pollution_driver_per_city` on a store: the ``city`` nodes say who is listed, so compliance nodes are read for the
+    months of ``start`` to ``end`` alone."""
+    counts = pollution_driver_per_city(
+        {"compliant": _between(graph["compliant"], start, end)}, start, end, limit=None)
+    numbers = [c for c in counts.columns if c not in CITY]
+    listed = (graph["city"].select(*CITY).join(counts, CITY, "left").fillna(0, numbers).select(*CITY, *numbers)
+              .orderBy(F.desc("total_exceed"), "city", "country"))
+    return listed if limit is None else listed.limit(limit)
+
+
 def rank_pollutants(drivers: DataFrame) -> DataFrame:
     """Per city, its six pollutants by days above the guideline; ties in a fixed order."""
     order = F.array_position(F.array(*map(F.lit, POLLUTANT_ORDER)), F.col("pollutant"))
