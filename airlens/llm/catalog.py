@@ -91,7 +91,9 @@ total AS (SELECT count(*) AS items FROM gi),
 ei AS (SELECT item_id, n, unnest(s) AS g, unnest(range(len(s))) AS at FROM gi),
 weight AS (SELECT g, ln(1 + (SELECT items FROM total) / count(DISTINCT item_id)) AS w FROM ei GROUP BY g),
 ed AS (SELECT doc_id, unnest(s) AS g, unnest(range(len(s))) AS at, len(s) AS size FROM gd),
-place AS (SELECT DISTINCT doc_id, n, greatest(0, least(ed.at - ei.at, size - n)) AS start FROM ed JOIN ei USING (g)),
+aligned AS (SELECT DISTINCT doc_id, n, greatest(0, least(ed.at - ei.at, size - n)) AS start FROM ed JOIN ei USING (g)),
+place AS (SELECT doc_id, n, unnest(range(start, CASE WHEN following - start <= n / 0.8 THEN following ELSE start + 1 END)) AS start
+  FROM (SELECT *, lead(start) OVER (PARTITION BY doc_id, n ORDER BY start) AS following FROM aligned)),
 pair AS (SELECT p.doc_id, item_id, p.n, start, gd.s[start + 1:start + p.n] AS win, gi.s
   FROM place p JOIN gd USING (doc_id) JOIN gi ON gi.n = p.n
   WHERE len(list_intersect(gd.s[start + 1:start + p.n], gi.s)) > 0),

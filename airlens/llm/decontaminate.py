@@ -5,20 +5,22 @@ similarity of at least ``similarity`` to it over five-word shingles:
 sum(min(a, b) * w) / sum(max(a, b) * w), with a, b the counts of a shingle on either side and w its weight,
 ln(1 + items / items that hold it).
 
-1. Similar texts share a shingle, so windows are placed only where a document shares one with an item: at
-   the start it has if shingle meets shingle. A join by shingle hash finds these places; nothing similar is lost,
-   since an edit inside a passage leaves the shingles before it, after it, or both, in place.
-2. Each window gets a 64-bit SimHash of its shingles and is looked up among the items of its size by
-   multi-index blocks: with one block more than the radius has bits, two fingerprints within the radius agree
-   in at least one block.
-3. Pairs beyond the radius are not lost: a window of ``similarity`` with an item holds one of its heaviest shingles, those
+1. Similar texts share a shingle, so windows are placed by the shingles that a document shares with items of their size. A shingle
+   at place p that an item has at o aligns a window to start at p - o. Moved right of the alignments of all it shares, or left of
+   them, a window only loses; so one of the greatest similarity starts between two neighbouring alignments, or at one. These can be
+   ``n / similarity`` apart at most, or the places between them that nothing shared covers would already weigh too much. Every
+   start between such neighbours is tried.
+2. Each window gets a 64-bit SimHash of its shingles and is looked up among the items of its size by multi-index blocks: with one
+   block more than the radius has bits, two fingerprints within the radius agree in at least one block. Blocks are wide (16 bits at
+   radius 3), so a lookup meets few items; this finds exact copies and windows with few other shingles.
+3. Other pairs are found by weight: a window of ``similarity`` with an item holds one of its heaviest shingles, those
    that together weigh more than 1 - ``similarity`` of it, and is looked up by these too. So the result does not depend
    on the radius.
 4. All pairs found are verified by the exact weighted similarity.
 
 Defined cases: items of fewer than five words hold no shingle and match nothing; null or empty texts match
 nothing; repeated rows and items count once in the result, one row per (doc_id, item_id); other columns are
-ignored; empty tables give an empty result.
+ignored; empty tables give an empty result. ``n_windows`` and ``first_word`` are of the similar windows among those placed.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -27,7 +29,7 @@ from airlens.llm.common import broadcast_if_small, cut, words
 
 SHINGLE = 5
 SIMILARITY = 0.8
-RADIUS = 15
+RADIUS = 3
 BITS = 64
 #: benchmark shingles that may be broadcast (about 40 bytes each); beyond it the join is by shuffle
 MOST_BROADCAST = 2_000_000
@@ -94,8 +96,15 @@ def heaviest(items: DataFrame, similarity: float) -> DataFrame:
             .select("_n", "item_id", "_fp", F.explode("_o._g").alias("_g")))
 
 
-def windows(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``doc_id, _key, _n, _start, _win``: windows of item size where a document shares a shingle with an item."""
+def starts(placed: str, n: str, similarity: float) -> Column:
+    """Array of (from, to): the sorted starts ``placed``, each with those up to the next one if that is near enough."""
+    following = lambda i: F.get(placed, i + 1)
+    return F.transform(placed, lambda at, i: F.struct(
+        at.alias("from"), F.when(following(i) - at <= F.col(n) / similarity, following(i) - 1).otherwise(at).alias("to")))
+
+
+def windows(docs: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
+    """``doc_id, _key, _n, _start, _win``: windows of item size between alignments of shingles shared with an item."""
     places = items.select("_n", F.posexplode("_s").alias("_offset", "_g")).distinct()
     places = cut(places.groupBy("_g").agg(F.collect_set(F.struct("_n", "_offset")).alias("_places")))
     places = broadcast_if_small(places, places.count(), MOST_BROADCAST)
@@ -104,15 +113,19 @@ def windows(docs: DataFrame, items: DataFrame) -> DataFrame:
     hits = (shingled.select("doc_id", "_key", F.size("_s").alias("_size"), F.posexplode_outer("_s").alias("_pos", "_g"))
             .join(places, "_g").select("doc_id", "_key", "_size", "_pos", F.explode("_places").alias("_p")))
     start = F.greatest(F.lit(0), F.least(F.col("_pos") - F.col("_p._offset"), F.col("_size") - F.col("_p._n")))
-    found = cut(hits.select("doc_id", "_key", F.col("_p._n").alias("_n"), start.alias("_start")).distinct()
-                .groupBy("doc_id", "_key").agg(F.collect_list(F.struct("_n", "_start")).alias("_found")))
-    size = found.agg(F.count(F.lit(1)) + F.coalesce(F.sum(F.size("_found")), F.lit(0))).first()[0]
+    sized = (hits.select("doc_id", "_key", F.col("_p._n").alias("_n"), start.alias("_start"))
+             .groupBy("doc_id", "_key", "_n").agg(F.array_sort(F.collect_set("_start")).alias("_starts")))
+    found = cut(sized.select("doc_id", "_key", F.struct("_n", starts("_starts", "_n", similarity).alias("_ranges")).alias("_f"))
+                .groupBy("doc_id", "_key").agg(F.collect_list("_f").alias("_found")))
+    size = found.agg(F.count(F.lit(1)) + F.coalesce(F.sum(F.aggregate(
+        "_found", F.lit(0), lambda a, x: a + F.size(x["_ranges"]))), F.lit(0))).first()[0]
     found = broadcast_if_small(found.withColumnsRenamed({"doc_id": "_doc", "_key": "_doc_key"}), size, MOST_BROADCAST)
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_doc_key"))
     chosen = with_shingles(docs.join(found, same), "doc_id", "_key", "_found")
     return (chosen.select("doc_id", "_key", "_s", F.explode_outer("_found").alias("_f"))
-            .select("doc_id", "_key", F.col("_f._n").alias("_n"), F.col("_f._start").alias("_start"),
-                    F.slice("_s", F.col("_f._start") + 1, F.col("_f._n")).alias("_win")))
+            .select("doc_id", "_key", "_s", F.col("_f._n").alias("_n"), F.explode_outer("_f._ranges").alias("_r"))
+            .select("doc_id", "_key", "_s", "_n", F.explode_outer(F.sequence("_r.from", "_r.to")).alias("_start"))
+            .select("doc_id", "_key", "_n", "_start", F.slice("_s", F.col("_start") + 1, F.col("_n")).alias("_win")))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
@@ -121,7 +134,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     Windows of equal content are fingerprinted and verified once, however many documents hold them.
     """
     items = items_of(benchmark)
-    placed = cut(windows(docs, items).withColumn("_content", F.xxhash64("_win")))
+    placed = cut(windows(docs, items, similarity).withColumn("_content", F.xxhash64("_win")))
     content = placed.groupBy("_n", "_content").agg(F.any_value("_win").alias("_win"))
     printed = cut(content.select("_n", "_content", numbered("_win").alias("_win"), simhash(F.col("_win")).alias("_f")))
     keyed = printed.select("_n", "_content", "_f", F.explode(blocks(F.col("_f"), radius)).alias("_b"))

@@ -2,7 +2,9 @@
 
 import hashlib
 import itertools
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -394,6 +396,54 @@ def test_decontaminate_beyond_the_radius(spark):
         assert sorted((x.doc_id, x.item_id) for x in got) == [(i, i) for i in range(400)]
 
 
+def similar_windows(items, docs):
+    """Brute force: the greatest weighted similarity over all windows of item size, where it is 0.8 or more."""
+    shingles = lambda t: [tuple(w[i:i + 5]) for w in [t.lower().split()] for i in range(len(w) - 4)]
+    known = {i: shingles(t) for i, t in items}
+    holds = Counter(g for s in known.values() for g in set(s))
+    weight = lambda g: math.log(1 + len(known) / holds[g]) if g in holds else math.log(1 + len(known))
+    best = {}
+    for d, text in docs:
+        s = shingles(text)
+        for item, want in known.items():
+            b, n = Counter(want), len(want)
+            for at in range(max(1, len(s) - n + 1)):
+                a = Counter(s[at:at + n])
+                both = sum(min(a[g], b[g]) * weight(g) for g in a.keys() & b.keys())
+                got = both / sum(max(a[g], b[g]) * weight(g) for g in a.keys() | b.keys()) if a else 0
+                if round(got, 9) >= 0.8:
+                    best[d, item] = max(best.get((d, item), 0), round(got, 9))
+    return best
+
+
+def test_decontaminate_tries_every_window(spark):
+    """Items with common ends, and passages with words put in, left out, changed or halves swapped: as over all windows."""
+    r = random.Random(5)
+    opening, closing = prose(800, 14), prose(801, 14)
+    items = [(i, f"{opening} {prose(810 + i, 20 + i % 4)} {closing}") for i in range(28)]
+    docs = []
+    for i, text in items:
+        w = text.split(" ")
+        half, put = len(w) // 2, ["one", "two"]
+        made = [[*w[:half], *put, *w[half:]], [*w[:half - 1], *w[half + 1:]], [*w[half:], *w[:half]], [*w[:9], "x", *w[9:]],
+                w[2:], w[:-3], [*w[:half], *put * 3, *w[half:]]]
+        for k, edited in enumerate(made):
+            around = [prose(9000 + 100 * i + k, r.choice((0, 3, 40))), prose(9050 + 100 * i + k, r.choice((0, 2, 50)))]
+            docs.append((100 * i + k, " ".join([around[0], *edited, around[1]]).strip()))
+    want = similar_windows(items, docs)
+    assert len(want) > 60
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contaminated(spark.createDataFrame([(d, t, "s") for d, t in docs], SHAPE), benchmark).collect()
+    assert {(x.doc_id, x.item_id): x.similarity for x in got} == pytest.approx(want, abs=2e-9)
+
+
+def test_decontaminate_looks_up_few_items(spark):
+    """300 items of one size: wide blocks meet few pairs, not one for each window and item."""
+    items = spark.createDataFrame([(i, prose(5000 + i, 30)) for i in range(300)], "item_id long, text string")
+    held = decontaminate.items_of(items).select("item_id", F.explode(decontaminate.blocks(F.col("_fp"), decontaminate.RADIUS)).alias("_b"))
+    assert held.join(held.withColumnRenamed("item_id", "other"), "_b").where("item_id <> other").count() < 300
+
+
 # --- pipeline ----------------------------------------------------------------------------
 def test_pipeline_stages(spark, odd, tmp_path):
     import corpus_pipeline
