@@ -9,12 +9,13 @@ Spark deals the pages; one page, however long, is labelled inside its row by Arr
 
 Defined cases: a null or empty page, or one without content, has empty text; text outside any tag is a block; unclosed or stray
 tags are tolerated; a raw element ends at its own end tag only, whatever else it holds; a form is boilerplate except for an
-article or main inside it; repeated rows return one row each; other columns are ignored; an empty table gives an empty result.
+article or main inside it, and so is an element that only a part of a name, as in ``related-content``, speaks against; lists to choose from
+and buttons have no text; time and memory grow in proportion to a page, however deep it nests; repeated rows return one row each; other columns are ignored; an empty table gives an empty result.
 """
 
 import html as entities
 import re
-from collections import deque
+from collections import Counter, deque
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -23,17 +24,23 @@ BLOCK_TAGS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre section summary table tbody "
     "tfoot thead tr ul".split())
-RAW_TAGS = frozenset("iframe noscript object script style svg template textarea title".split())
+RAW_TAGS = frozenset("button iframe noscript object script select style svg template textarea title".split())
 #: of these, tags whose content is elements: they nest, and one without an end tag is passed over
-NESTED_TAGS = frozenset("noscript object svg template".split())
+NESTED_TAGS = frozenset("button noscript object select svg template".split())
 #: head is one of these, as all it may hold is raw or void; so it ends with or without its end tag
 VOID_TAGS = frozenset("area base br col embed head hr img input link meta param source track wbr".split())
 #: tags and names of classes, ids and roles that mark boilerplate
 OFF_TAGS = frozenset("aside button dialog fieldset footer form menu nav select".split())
 OFF_NAMES = frozenset(
     "ad ads advert advertisement banner breadcrumb breadcrumbs comment comments complementary consent contentinfo cookie "
-    "cookies disqus footer header login masthead menu modal nav navbar navigation newsletter notice popup promo promotion "
+    "cookies discussion disqus footer header login masthead menu modal nav navbar navigation newsletter notice popup promo promotion "
     "related replies search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget".split())
+#: parts of names that speak of the layout around something, not of the thing; names of a page's or an article's head; names of comments
+LAYOUT_PARTS = frozenset("has is layout no with without wrap wrapper".split())
+HEAD_NAMES = frozenset("banner header masthead".split())
+COMMENT_NAMES = frozenset("comment comments discussion replies reply".split())
+#: how much speaks against an element: nothing, part of a name, a tag or whole name
+CLEAR, DOUBTED, OFF = 0, 1, 2
 #: fixed weights of the classifier
 W_ARTICLE, W_OFF, W_LINKS, W_TEXT_TAG, W_WORDS, W_BASE = 5.0, -12.0, -4.0, 1.0, 2.0, -1.0
 ADJACENT, SIBLING = 1.0, 1.0
@@ -45,22 +52,51 @@ _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:[\s=/]|$)|aria-hidden\s*=\s*["']?true|
 
 
 class Block:
-    __slots__ = ("text", "path", "links", "off", "article", "tag")
+    __slots__ = ("text", "node", "links", "off", "article", "tag")
 
-    def __init__(self, text, path, links, off, article, tag):
-        self.text, self.path, self.links, self.off, self.article, self.tag = text, path, links, off, article, tag
+    def __init__(self, text, node, links, off, article, tag):
+        self.text, self.node, self.links, self.off, self.article, self.tag = text, node, links, off, article, tag
 
 
-def _off(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element marks boilerplate; for a form, whether it does so by more than being one."""
+class Tree:
+    """Parent and depth of the elements that blocks lie in, by number; 0 is the page."""
+
+    def __init__(self):
+        self.parent, self.depth = [0], [0]
+
+    def add(self, parent: int) -> int:
+        self.parent.append(parent)
+        self.depth.append(self.depth[parent] + 1)
+        return len(self.parent) - 1
+
+    def distance(self, a: int, b: int) -> int:
+        """Steps from one to the other. Over all neighbouring blocks of a page no more than twice its elements."""
+        steps = 0
+        while a != b:
+            if self.depth[a] >= self.depth[b]:
+                a = self.parent[a]
+            else:
+                b = self.parent[b]
+            steps += 1
+        return steps
+
+
+def _against(tag: str, attributes: str, in_article: bool) -> int:
+    """How much an element's own tag and names speak against it; a form's tag does not count here."""
     if tag != "form" and tag in OFF_TAGS or (tag == "header" and not in_article):
-        return True
-    if tag in ("html", "body", "article", "main") or not attributes:
-        return False
-    if _HIDDEN.search(attributes):
-        return True
-    names = [n for m in _NAMED.finditer(attributes) for n in re.split(r"[^a-z0-9]+", m[2].lower())]
-    return any(n in OFF_NAMES for n in names)
+        return OFF
+    if tag in ("html", "body", "main") or not attributes:
+        return CLEAR
+    if tag != "article" and _HIDDEN.search(attributes):
+        return OFF
+    names = [n for m in _NAMED.finditer(attributes) for n in m[2].strip("\"'").lower().split()]
+    if tag == "article":        # comments are articles too
+        return OFF if any(n in COMMENT_NAMES or n.startswith("comment-") for n in names) else CLEAR
+    marks = OFF_NAMES - HEAD_NAMES if in_article else OFF_NAMES
+    if any(n in marks for n in names):
+        return OFF
+    parts = [[q for q in re.split(r"[^a-z0-9]+", n) if q] for n in names]
+    return DOUBTED if any(not LAYOUT_PARTS.intersection(p) and marks.intersection(p) for p in parts) else CLEAR
 
 
 def _behind(page: str, tag: str, at: int) -> int:
@@ -79,25 +115,30 @@ def _behind(page: str, tag: str, at: int) -> int:
     return len(page)
 
 
-def blocks_of(page: str) -> list[Block]:
-    """Blocks in page order. A stack entry is (number, tag, off, form, article); form: in one that no article or main is inside of."""
-    found, stack, parts, place, number, linked, endless = [], [(0, "", False, False, False)], [], 0, 0, 0, set()
+def blocks_of(page: str) -> tuple[list[Block], Tree]:
+    """Blocks in page order. A stack entry is (tag, node, place of the nearest block tag in the stack, off, form, article);
+    form: in one that no article or main is inside of."""
+    found, tree, parts, place, linked, endless, opened = [], Tree(), [], 0, 0, set(), Counter()
+    stack = [("", 0, 0, CLEAR, False, False)]
 
     def close():
         nonlocal parts, linked
         text = " ".join(entities.unescape("".join(parts)).split())
         if text:
-            tag = next((t for _, t, *_ in reversed(stack) if t in BLOCK_TAGS), "")
-            path = tuple(n for n, t, *_ in stack if t in BLOCK_TAGS or not t)
-            found.append(Block(text, path, min(1.0, linked / max(1, len(text))), stack[-1][2] or stack[-1][3], stack[-1][4], tag))
+            _, node, near, off, form, article = stack[-1]
+            found.append(Block(text, node, min(1.0, linked / max(1, len(text))), off != CLEAR or form, article, stack[near][0]))
         parts, linked = [], 0
 
+    def leave(at):
+        opened.subtract(entry[0] for entry in stack[at:])
+        del stack[at:]
+
     while m := _TOKEN.match(page, place):
         place = m.end()
         end, tag, attributes, text = m.groups()
         if text is not None:
             parts.append(text)
-            if any(t == "a" for _, t, *_ in stack[-3:]):
+            if any(entry[0] == "a" for entry in stack[-3:]):
                 linked += len(text.strip())
             continue
         if tag is None:
@@ -108,9 +149,8 @@ def blocks_of(page: str) -> list[Block]:
         elif tag in ("br", "td", "th"):
             parts.append(" ")
         if end:
-            at = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][1] == tag), None)
-            if at is not None:
-                del stack[at:]
+            if opened[tag] > 0:
+                leave(next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag))
         elif tag in RAW_TAGS:
             if not attributes.rstrip().endswith("/") and tag not in endless:
                 place = _behind(page, tag, place)
@@ -118,15 +158,19 @@ def blocks_of(page: str) -> list[Block]:
                     endless.add(tag)
         elif tag not in VOID_TAGS:
             if tag in ("p", "li", "tr", "dd", "dt", "option") or tag[:1] == "h" and tag[1:].isdigit():
-                at = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][1] in BLOCK_TAGS), None)
-                if at is not None and (stack[at][1] == tag or stack[at][1] == "p"):
-                    del stack[at:]  # its end tag was left out
-            number += 1
-            _, _, off, form, article = stack[-1]
+                at = stack[-1][2]
+                if at and stack[at][0] in (tag, "p"):
+                    leave(at)  # its end tag was left out
+            _, node, near, off, form, article = stack[-1]
             main = tag in ("article", "main")
-            stack.append((number, tag, off or _off(tag, attributes, article), tag == "form" or form and not main, article or main))
+            if main and off == DOUBTED:
+                off = CLEAR
+            if tag in BLOCK_TAGS:
+                node, near = tree.add(node), len(stack)
+            stack.append((tag, node, near, max(off, _against(tag, attributes, article)), tag == "form" or form and not main, article or main))
+            opened[tag] += 1
     close()
-    return found
+    return found, tree
 
 
 def leaning(block: Block) -> float:
@@ -136,15 +180,13 @@ def leaning(block: Block) -> float:
             + W_WORDS * min(1.0, block.text.count(" ") / 20))
 
 
-def ties(blocks: list[Block]) -> list[tuple[int, int, float]]:
+def ties(blocks: list[Block], tree: Tree) -> list[tuple[int, int, float]]:
     """Smoothness edges: next in the page, and next under the same parent; weaker with distance in the tree."""
     found, last = [], {}
     for k, block in enumerate(blocks):
         if k:
-            a, b = blocks[k - 1].path, block.path
-            common = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
-            found.append((k - 1, k, ADJACENT / (1 + len(a) + len(b) - 2 * common)))
-        parent = block.path[-2:-1] or block.path
+            found.append((k - 1, k, ADJACENT / (1 + tree.distance(blocks[k - 1].node, block.node))))
+        parent = tree.parent[block.node]
         if parent in last and last[parent] != k - 1:
             found.append((last[parent], k, SIBLING / 3))
         last[parent] = k
@@ -209,8 +251,8 @@ def min_cut(gains: list[float], edges: list[tuple[int, int, float]]) -> list[boo
 
 def main_text(page: str | None) -> tuple[str, int]:
     """Text of the content blocks, and how many blocks the page has."""
-    blocks = blocks_of(page or "")
-    content = min_cut([leaning(b) for b in blocks], ties(blocks))
+    blocks, tree = blocks_of(page or "")
+    content = min_cut([leaning(b) for b in blocks], ties(blocks, tree))
     return "\n\n".join(b.text for b, kept in zip(blocks, content, strict=True) if kept), len(blocks)
 
 

@@ -116,6 +116,40 @@ def test_extract_odd_rows(spark):
     assert html_extract.extract(pages.where("false")).collect() == []
 
 
+LONG = "word " * 25
+
+
+@pytest.mark.parametrize("name, kept", [("has-sidebar", True), ("no-share", True), ("related-content-layout", True), ("related-content", True),
+                                        ("sidebar", False), ("post comments", False)])
+def test_names_above_an_article(name, kept):
+    """Parts of names doubt what is in them, which an article outweighs; whole names do not."""
+    page = f'<body><div class="{name}"><article><h1>Title</h1><p>{LONG}</p></article></div><footer>foot</footer></body>'
+    assert html_extract.main_text(page)[0] == (f"Title\n\n{LONG.strip()}" if kept else "")
+
+
+def test_names_inside_an_article():
+    page = (f'<article><header class="entry-header"><h1>Title</h1></header><p>{LONG}</p><div class="share-buttons"><p>Share {LONG}</p></div></article>'
+            f'<section class="discussion"><article><p>Reader {LONG}</p></article></section>'
+            f'<ol class="comment-list"><li><article id="comment-3"><p>Reader {LONG}</article></ol>')
+    assert html_extract.main_text(page)[0] == f"Title\n\n{LONG.strip()}"
+
+
+def test_lists_to_choose_from_have_no_text():
+    page = f"<article><p>{LONG}</p><p>Choose <select><option>One<option>Two</select> now <button>Go</button>, {LONG}</p></article>"
+    assert html_extract.main_text(page)[0] == f"{LONG.strip()}\n\nChoose now , {LONG.strip()}"
+
+
+def test_deep_pages_take_work_in_proportion():
+    """Steps through the tree, counted: twice as deep a page takes about twice as many."""
+    def steps(n):
+        blocks, tree = html_extract.blocks_of("<div>text here" * n + "</i></div>" * (n // 2) + "<p>end")
+        assert len(blocks) == n + 1 and max(tree.depth) <= n + 1
+        return sum(tree.distance(a.node, b.node) for a, b in itertools.pairwise(blocks))
+
+    assert steps(4000) <= 2 * steps(2000) + 2
+    assert html_extract.main_text("<b>" * 20_000 + "<p>x</i>" * 20_000)[1] == 20_000
+
+
 # --- 3 ---------------------------------------------------------------------------------
 def repeats_brute(texts, length):
     seen, out = set(), {}
