@@ -370,8 +370,61 @@ def test_attention_is_causal():
     assert np.allclose(one, other)
 
 
+def test_every_training_window_is_learned_from(spark, monkeypatch):
+    ranks = attention_lm.read_ranks()
+    end, subwords = len(ranks), attention_lm.Subwords(ranks)
+    texts = [prose(i, 30 + 40 * i) for i in range(12)] + ["", None, prose(3, 2000)]
+    encoded = [attention_lm.encode(t, subwords, end) for t in texts]
+    model = attention_lm.Attention(np.bincount(np.concatenate(encoded), minlength=end + 1))
+    with monkeypatch.context() as small:
+        small.setattr(attention_lm, "HELD_WINDOWS", 8)
+        small.setattr(attention_lm, "BATCH", 4)
+        seen, learned, losses = attention_lm.learn(model.copy(), texts, subwords, end)
+    assert learned == sum(map(len, encoded))
+    assert seen.sum() == sum(there.sum() for _, there, _ in map(attention_lm.windows_of, encoded))
+    assert np.mean(losses[-3:]) < np.mean(losses[:3])
+
+    # over Spark: one partition in one round is the plain run; more partitions are weighted averages
+    monkeypatch.setattr(attention_lm, "ROUNDS", 1)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    shared = spark.sparkContext.broadcast(ranks)
+    alone, plain = model.copy(), model.copy()
+    attention_lm.train_model(alone, docs.coalesce(1), shared)
+    attention_lm.learn(plain, [r.text for r in docs.coalesce(1).collect()], subwords, end, seed=0)
+    assert all(np.allclose(alone.p[k], plain.p[k], atol=1e-5) for k in plain.p)
+    halves, dealt = [], docs.repartition(2, "doc_id")
+    for rows in dealt.rdd.glom().collect():
+        half = model.copy()
+        halves.append((half, *attention_lm.learn(half, [r.text for r in rows], subwords, end, seed=0)[:2]))
+    both = model.copy()
+    attention_lm.train_model(both, dealt, shared)
+    assert np.allclose(both.p["q"], sum(m.p["q"] * n for m, _, n in halves) / learned, atol=1e-5)
+    weight = sum(s for _, s, _ in halves)
+    at = np.flatnonzero(weight)
+    mean = sum(m.p["e"][at] * s[at, None] for m, s, _ in halves) / weight[at, None]
+    assert np.allclose(both.p["e"][at], mean, atol=1e-5)
+
+
+def test_pairs_and_frequent_words_are_counted(spark):
+    ranks = attention_lm.read_ranks()
+    end, subwords = len(ranks), attention_lm.Subwords(ranks)
+    texts = [prose(i, 50) for i in range(30)] + [None, "", "one"]
+    single = np.minimum(np.arange(end + 1), attention_lm.SINGLES)
+    want = np.zeros((attention_lm.SINGLES + 1,) * 2)
+    for t in texts:
+        before = end
+        for i in attention_lm.encode(t, subwords, end):
+            want[single[before], single[i]] += 1
+            before = i
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    assert np.array_equal(attention_lm.count_pairs(docs, spark.sparkContext.broadcast(ranks), single), want)
+    counts = spark.createDataFrame([(f"w{k}", k + 1) for k in range(500)], "word string, n long")
+    top = attention_lm.most_frequent(counts, 100)
+    assert 50 <= len(top) <= 100 and min(top.values()) > max(k + 1 for k in range(500) if f"w{k}" not in top)
+    assert attention_lm.most_frequent(counts, 0) == {} and len(attention_lm.most_frequent(counts, 500)) == 500
+
+
 def test_lm_scores(spark, odd, monkeypatch):
-    monkeypatch.setattr(attention_lm, "TRAIN_WINDOWS", 256)
     monkeypatch.setattr(attention_lm, "TOP_WORDS", 3)
     import math
     import zlib
