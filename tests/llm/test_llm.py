@@ -328,6 +328,46 @@ def test_nearest_is_exact():
         assert index.ids[places].tolist() == best and np.allclose(cosines, want[best])
 
 
+def test_toxicity_equals_brute_force(spark):
+    """The whole classification, by dense vectors over all examples."""
+    import math
+    import zlib
+    from collections import Counter
+    out = lambda i: zlib.crc32(str(i).encode()) % 3 == 1
+    texts = {i: prose(i, 15 + i % 30) + (" slurword vilething" if i % 6 == 0 else " slurs" if i % 11 == 0 else "") for i in range(240)}
+    toxic = {i: int(i % 6 == 0) for i in texts}
+    train = [i for i in texts if not out(i)]
+    held, bad = Counter(), Counter()
+    for i in train:
+        held.update(set(toxicity.terms(texts[i])))
+        if toxic[i]:
+            bad.update(set(toxicity.terms(texts[i])))
+    n, n1 = len(train), sum(toxic[i] for i in train)
+    share = {t: (bad[t] + n1 / n) / (held[t] + 1) for t in held}
+    space = sorted(t for t in held if bad[t] >= 2 and share[t] >= 2 * n1 / n)
+    dense = {}
+    for i, text in texts.items():
+        found = toxicity.terms(text)
+        v = np.array([(1 + math.log(found[t])) * (math.log((1 + n) / (1 + held[t])) + 1) * share[t] if t in found else 0.0 for t in space])
+        dense[i] = v / (np.sqrt((v * v).sum()) or 1)
+    examples = [i for i in train if dense[i].any()]
+
+    def vote(i):
+        near = sorted(((-round(min(1.0, float(dense[i] @ dense[j])), 12), j) for j in examples if j != i))[:25]
+        w = np.array([c * c for c, _ in near])
+        return float((sum(c * c * toxic[j] for c, j in near) + 0.25 * n1 / n) / (w.sum() + 0.25))
+
+    steps = toxicity.isotonic(np.array([vote(i) for i in examples]), np.array([float(toxic[i]) for i in examples]))
+    rest = [i for i in train if not dense[i].any()]
+    none = (sum(toxic[i] for i in rest) + 1) / (len(rest) + 2)
+    want = {i: float(np.interp(vote(i), *steps)) if dense[i].any() else none for i in texts}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    got = toxicity.classify(docs, spark.createDataFrame(list(toxic.items()), "doc_id long, toxic int")).collect()
+    assert len(space) > 20 and len(got) == len(texts)
+    assert all(x.score == pytest.approx(want[x.doc_id], abs=1e-6) for x in got)
+    assert all(str(x.doc_id) != near.split()[1].rstrip(":") for x in got for near in x.neighbours)
+
+
 def test_toxicity(spark, odd):
     docs = [(i, prose(i, 40) + (" slurword slurwort" if i % 5 == 0 else ""), "s") for i in range(600)]
     labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(600)] + [(None, 1), (3, None)], "doc_id long, toxic int")
