@@ -22,6 +22,7 @@ id. A row without doc_id is not held out and not learned from. Other columns are
 import math
 import re
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -37,6 +38,8 @@ NEIGHBOURS = 25
 BLOCK = 64
 #: blocks in the first group that a search visits; each further group is twice as large
 FIRST_GROUP = 4
+#: words whose prefixes a task remembers
+CACHE = 200_000
 #: weight of the prior in a vote
 PRIOR_WEIGHT = 0.25
 THRESHOLD = 0.7
@@ -53,12 +56,11 @@ def terms(text: str | None, wanted: "Wanted | None" = None) -> Counter:
     """
     found = Counter(_WORD.findall((text or "").lower()))
     if wanted is None:
-        prefixes = Counter([word[:size] for word in found for size in PREFIXES if len(word) >= size])
+        prefixes = Counter([f"{word[:size]}*" for word in found for size in PREFIXES if len(word) >= size])
     else:
-        prefixes = Counter([word[:size] for word in found if word[:PREFIXES[0]] in wanted.starts
-                            for size in PREFIXES if len(word) >= size])
-        found = Counter({word: n for word, n in found.items() if word in wanted.words})
-    found.update({f"{prefix}*": n for prefix, n in prefixes.items()})
+        prefixes = Counter(chain.from_iterable(map(wanted.prefixes, found)))
+        found = {word: n for word, n in found.items() if word in wanted.words}
+    found.update(prefixes)
     often = [(t, n) for t, n in found.items() if n >= LEVELS[0]]
     found.update({f"{t}={level}": 1 for t, n in often for level in LEVELS if n >= level})
     return found
@@ -71,7 +73,18 @@ class Wanted:
         self.weights = {t: (f, w) for f, (t, w) in enumerate(weights.items())}
         bare = {t.rpartition("=")[0] or t for t in weights}
         self.words = {t for t in bare if not t.endswith("*")}
-        self.starts = {t[:PREFIXES[0]] for t in bare if t.endswith("*")}
+        self.starts = bare - self.words
+        self.known: dict[str, tuple[str, ...]] = {}
+
+    def prefixes(self, word: str) -> tuple[str, ...]:
+        """Prefixes of a word that terms are made of; remembered."""
+        found = self.known.get(word)
+        if found is None:
+            if len(self.known) > CACHE:
+                self.known.clear()
+            cut_off = [f"{word[:size]}*" for size in PREFIXES if len(word) >= size]
+            found = self.known[word] = tuple(t for t in cut_off if t in self.starts)
+        return found
 
 
 def held_out(doc_id):
@@ -188,9 +201,9 @@ class Index:
         while seen < len(order) and (len(places) < k or bound[order[seen]] >= kth - 1e-12):
             here = np.flatnonzero((turn >= seen) & (turn < seen + group))
             postings = _spans(self.start[entries[here]], self.size[entries[here]])
-            hit, slot = np.unique(self.places[postings], return_inverse=True)
-            cosine = np.bincount(slot, weights=np.repeat(x[here], self.size[entries[here]]) * self.weights[postings])
-            cosine = np.minimum(1.0, cosine)
+            cosine = np.bincount(self.places[postings], weights=np.repeat(x[here], self.size[entries[here]]) * self.weights[postings])
+            hit = np.flatnonzero(cosine)
+            cosine = np.minimum(1.0, cosine[hit])
             other = slice(None) if without is None else self.ids[hit] != without
             places, cosines = np.r_[places, hit[other]], np.r_[cosines, cosine[other]]
             if len(places) > k:  # the k best, and all that tie with the last
