@@ -9,7 +9,7 @@ from airlens.catalog.registry import query
 from airlens.functions import clean_number, norm_city, norm_country, parse_ts
 from airlens.operators import standardize as ST
 from airlens.operators.validate import split_valid
-from airlens.shared import materialized, scratch_path
+from airlens.shared import materialized, scratch_path, write_json
 from airlens.sinks import write_validated
 from airlens.sources import files, messages as M
 from airlens.sources.readings import ORDER, readings
@@ -150,7 +150,7 @@ def t2_01(spark, sf):
 @query("t2_02_read_jsonl", sql.chain(last=_TYPED))
 def t2_02(spark, sf):
     folder = scratch_path(spark, "jsonl")
-    _typed(spark, sf).write.json(folder)
+    write_json(_typed(spark, sf), folder)
     return files.read_jsonl(spark, folder)
 
 
