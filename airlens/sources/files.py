@@ -44,10 +44,11 @@ def _ends_open(line: Column, delimiter: str, inside: bool) -> Column:
     d = re.escape(delimiter)
     quoted = '[^"]*+(?:""[^"]*+)*+"[^%s]*+' % d
     whole = lambda text: F.regexp_replace(text, f'{d}(?:"{quoted}|[^"{d}][^{d}]*+|(?={d}|\\z))', "") == ""
+    quotes = F.contains(line, F.lit('"'))       # a line without any leaves things as they are
     if not inside:
-        return ~whole(F.concat(F.lit(delimiter), line))
+        return F.when(quotes, ~whole(F.concat(F.lit(delimiter), line))).otherwise(False)
     closes = f"^{quoted}"
-    return F.when(line.rlike(closes), ~whole(F.regexp_replace(line, closes, ""))).otherwise(True)
+    return F.when(quotes & line.rlike(closes), ~whole(F.regexp_replace(line, closes, ""))).otherwise(True)
 
 
 def _state(fixed: str, flips: Column, start: Column) -> Column:

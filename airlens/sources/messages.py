@@ -66,7 +66,8 @@ def cells(line: Column, delimiter: str = ",") -> Column:
     quoted = '"([^"]*+(?:""[^"]*+)*+)'
     found = F.regexp_extract_all(F.concat(F.lit(delimiter), line), F.lit(f'{d}(?:{quoted}(?:"[^{d}]*+|$)|[^{d}]*+)'), F.lit(0))
     cell = lambda x: F.substr(x, F.lit(len(delimiter) + 1))
-    return F.when(line == "", F.array().cast("array<string>")).otherwise(F.transform(found, lambda x: F.when(
+    plain = F.split(line, d, -1)        # no quote: nothing to match cell by cell
+    return F.when(line == "", F.array().cast("array<string>")).when(~F.contains(line, F.lit('"')), plain).otherwise(F.transform(found, lambda x: F.when(
         F.startswith(cell(x), F.lit('"')), F.concat(
             F.replace(F.regexp_extract(cell(x), f"^{quoted}", 1), F.lit('""'), F.lit('"')),
             F.regexp_extract(cell(x), f'(?s)^{quoted}"(.*)', 2))).otherwise(cell(x))))
@@ -80,10 +81,15 @@ def encode_records(lines: DataFrame, header: str | None = None, delimiter: str =
     last counts. Without: keys are ``c0, c1, ...``, one for every cell a line has. An empty cell is an empty
     string, an empty line has no cells, a null line is left out.
     """
-    parsed = lines.where(F.col("value").isNotNull()).select(cells(F.col("value"), delimiter).alias("cells"))
+    parsed = lines.where(F.col("value").isNotNull()).select(
+        cells(F.col("value"), delimiter).alias("cells"), F.col("value").rlike(r'["\\\p{Cntrl}]').alias("escapes"))
     if header is None:
         names = F.transform("cells", lambda x, i: F.concat(F.lit("c"), i.cast("string")))
-        return parsed.select(F.to_json(F.map_from_arrays(names, F.col("cells"))).alias("value"))
+        record = F.to_json(F.map_from_arrays(names, F.col("cells")))
+        # cells without a character that JSON escapes are put into place as they are, which spares a map of each line
+        cell = F.transform("cells", lambda x, i: F.concat(F.lit('"c'), i.cast("string"), F.lit('":"'), x, F.lit('"')))
+        simple = F.concat(F.lit("{"), F.array_join(cell, ","), F.lit("}"))
+        return parsed.select(F.when(F.col("escapes"), record).otherwise(simple).alias("value"))
     named = lines.sparkSession.range(1).select(cells(F.lit(header), delimiter).alias("n")).first()["n"]
     place = {name.strip("\ufeff").strip(): k for k, name in enumerate(named)}
     record = F.struct(*[F.get("cells", F.lit(k)).alias(name) for name, k in place.items()])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from airlens import config as C, schema as S
 from airlens.operators.standardize import standardize
 from airlens.sources import encode_records, read_csv, read_jsonl, read_lines, read_records
-from tests.helpers import HEADER, NOISE, at, tuples
+from tests.helpers import HEADER, NOISE, at, plan_of, tuples
 
 
 def test_schemas():
@@ -115,3 +115,15 @@ def test_records_header_limits_and_empty_files(spark, tmp_path, small_splits):
     (tmp_path / "open.csv").write_text('x,"' + "\n" * 30)
     with pytest.raises(Exception, match="more than 5 lines"):
         read_records(spark, str(tmp_path / "open.csv"), most_lines=5).collect()
+
+
+def test_headerless_records_with_and_without_characters_that_json_escapes(spark):
+    """Lines without any are put together without a map of their cells; both ways give the same text."""
+    lines = ["a,,é b", ",", "x", "", 'q,"he said ""no""",z', "back\\slash,b", "tab\there,\u0001,\u007f,\u0085", '"a,b",c']
+    df = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "i int, value string")
+    got = [r["value"] for r in encode_records(df.orderBy("i").coalesce(1).select("value")).collect()]
+    want = [["a", "", "é b"], ["", ""], ["x"], [], ["q", 'he said "no"', "z"], ["back\\slash", "b"],
+            ["tab\there", "\u0001", "\u007f", "\u0085"], ["a,b", "c"]]
+    assert [json.loads(v) for v in got] == [{f"c{i}": x for i, x in enumerate(cells)} for cells in want]
+    assert got[0] == '{"c0":"a","c1":"","c2":"é b"}'
+    assert "array_join" in plan_of(encode_records(df.select("value")))
