@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from airlens.catalog import ORACLES, QUERIES
+from airlens.session import tune
 from airlens.shared import shared_dir
 from check import TABLES, compare
 
@@ -49,3 +50,20 @@ def test_entry(spark):
 
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_table_queries_start_with_many_partitions_unless_the_session_says_otherwise(spark):
+    """A session of four shuffle partitions let one task sort a fourth of the table; training queries keep the session's number."""
+    other = spark.newSession()
+    start, size = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    default = other.conf.get(size)
+    tune(other, tables=True)
+    assert other.conf.get(start) == "200" and other.conf.get(size) == "32m"
+    tune(other)
+    assert other.conf.get(start, None) is None and other.conf.get(size) == default
+    other.conf.set(start, "7")
+    tune(other, tables=True)
+    tune(other)
+    assert other.conf.get(start) == "7"
+    tune(other, tables=True)
+    assert other.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("RocksDBStateStoreProvider")
