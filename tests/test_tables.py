@@ -196,3 +196,15 @@ def test_windows_on_daily_readings(spark):
     assert tuples(W.city_stats(df)) == [("a", "X", 150.5, 201.0, 3)]
     assert B.top_cities(W.city_metrics(df), 1).first()["avg_aqi"] == 150.5
     assert B.top_countries(W.country_trends(df), 1).first()["hazardous_count"] == 1
+
+
+def test_an_upsert_deals_documents_by_month_once(spark, tmp_path, monkeypatch):
+    """A batch is joined by key, so dealing it by month before the merge was a shuffle of all its documents for nothing."""
+    dealt, stage = [], tables._stage
+    monkeypatch.setattr(tables, "_stage", lambda df, path: dealt.append(path) or stage(df, path))
+    rows = "dedup string, ts_utc timestamp, v int"
+    for batch, part in (("1", [("a", at("2024-01-05"), 1), ("b", None, 2)]), ("2", [("a", at("2024-02-05"), 3), ("c", at("2024-01-07"), 4)])):
+        tables.upsert_by_key(spark.createDataFrame(part, rows), str(tmp_path / "docs"), batch, ["v"])
+    stored = tables.read_target(spark, str(tmp_path / "docs"))
+    assert tuples(stored, "dedup", "v", "month") == [("a", 3, "2024-02"), ("b", 2, "none"), ("c", 4, "2024-01")]
+    assert len(dealt) == 1 and dealt[0].endswith("/merged")
