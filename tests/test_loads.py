@@ -10,7 +10,7 @@ from airlens.catalog import live
 from airlens.operators import graph as G
 from airlens.plans.documents import load_documents
 from airlens.plans.graph import load_graph
-from airlens.sinks import read_graph, read_target, write_validated
+from airlens.sinks import read_graph, read_target, tables, write_validated
 from tests.helpers import tuples
 
 
@@ -111,3 +111,56 @@ def test_a_table_as_a_stream_is_one_batch_however_many_files_it_has(spark, monke
     monkeypatch.setattr(live, "enriched", lambda spark, sf: rows.withColumns(empty))
     stored = live._snapshot("one-batch", live.W.city_metrics, live.DAY, "append")(spark, "")
     assert stored.agg(F.sum("measurement_count")).first()[0] >= 2 * 1195
+
+
+def test_a_load_deals_readings_once_and_joins_no_table_with_the_store(spark, two_loads, tmp_path, monkeypatch):
+    """Nine tables were each joined with their stored keys and dealt by month on their own."""
+    joined, kept = [], tables._existing
+    monkeypatch.setattr(tables, "_existing", lambda spark, path, like: joined.append(path) or kept(spark, path, like))
+    base, stage = str(tmp_path / "graph"), str(tmp_path / "stage")
+    for batch, source in zip("ab", two_loads, strict=True):
+        load_graph(spark, source, base, batch)
+    assert len(joined) == sum("event_date" in keys for keys in G.KEYS.values())     # the first load asks what is there, later ones do not
+    rows = spark.read.schema(S.CLEAN).json(two_loads[1]).withColumn("event_date", F.to_date("event_date"))
+    again = G.build_graph(rows, S.CLEAN.names, stage=stage, known=tables.known_links(spark, base))
+    assert not any(again[name].count() for name in G.KEYS)      # all of it is stored
+    new = G.build_graph(rows.withColumn("aqi_category", F.lit("Fair")), S.CLEAN.names, stage=stage, known=tables.known_links(spark, base))
+    assert new["reading"].count() == 0 and tuples(new["has_category"], "city", "aqi_category") == [("Paris", "Fair")] * 2
+
+
+def test_a_load_that_broke_off_is_repaired_by_its_repeat(spark, two_loads, tmp_path, monkeypatch):
+    """Tables that hold different loads are compared one by one, until the broken batch has ended."""
+    base, add = str(tmp_path / "graph"), tables._add_keyed
+    load_graph(spark, two_loads[0], base, "a")
+
+    def broken(table, path, keys):
+        if path.endswith("/category"):
+            raise OSError("broke off")
+        add(table, path, keys)
+
+    monkeypatch.setattr(tables, "_add_keyed", broken)
+    with pytest.raises(OSError):
+        load_graph(spark, two_loads[1], base, "b")
+    monkeypatch.setattr(tables, "_add_keyed", add)
+    assert tables.known_links(spark, base) is None and read_graph(spark, base)["compliant"].count() == 2
+    load_graph(spark, two_loads[0], base, "c")
+    assert tables.known_links(spark, base) is None      # another batch does not mend it
+    load_graph(spark, two_loads[1], base, "b")
+    stored = read_graph(spark, base)
+    assert tables.known_links(spark, base) is not None
+    assert all(stored[name].count() == 3 for name in ("reading", "compliant", "has_reading", "on_day", "has_category", "has_compliant"))
+
+
+def test_readings_of_a_frequent_place_and_day_are_cut_down_first(spark, two_loads, tmp_path, monkeypatch):
+    """The result is the same whichever rows go which way, and however small the parts of a month are."""
+    rows = spark.read.schema(S.CLEAN).json(list(two_loads)).withColumn("event_date", F.to_date("event_date"))
+    rows = rows.withColumn("aqi_category", F.when(F.col("AQI") > 50, "Poor").otherwise("Good"))
+    want = G.build_graph(rows, S.CLEAN.names)
+    monkeypatch.setattr(G, "HOT_ROWS", 1)
+    monkeypatch.setattr(G, "PART_ROWS", 1)
+    keyed = rows.where("city IS NOT NULL AND event_date IS NOT NULL").select(
+        *G.READING, G.month().alias("stored_month"), F.xxhash64(*G.READING).alias("_hash"))
+    assert len(G._shares(keyed)[1]) == 1
+    got = G.build_graph(rows, S.CLEAN.names, stage=str(tmp_path / "stage"))
+    for name in G.KEYS:
+        assert tuples(got[name]) == tuples(want[name]), name
