@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from airlens import config as C, schema as S
 from airlens.operators.standardize import standardize
-from airlens.sources import encode_records, read_csv, read_jsonl, read_lines, read_records
+from airlens.sources import encode_records, read_csv, read_jsonl, read_lines, read_records, readings as R
 from tests.helpers import HEADER, NOISE, at, plan_of, tuples
 
 
@@ -127,3 +127,25 @@ def test_headerless_records_with_and_without_characters_that_json_escapes(spark)
     assert [json.loads(v) for v in got] == [{f"c{i}": x for i, x in enumerate(cells)} for cells in want]
     assert got[0] == '{"c0":"a","c1":"","c2":"é b"}'
     assert "array_join" in plan_of(encode_records(df.select("value")))
+
+
+def test_readings_are_not_dealt_by_place(spark, tmp_path, monkeypatch):
+    """Spark multiplies the sizes of suppliers and nations, and would shuffle all readings to meet a small table of places."""
+    tables = {"nation": "SELECT id AS n_nationkey, id AS n_regionkey FROM range(5)",
+              "supplier": "SELECT id AS s_suppkey, id % 6 AS s_nationkey, concat('S', id % 300) AS s_name FROM range(400)",
+              "lineitem": "SELECT id AS l_orderkey, id % 7 AS l_partkey, id % 500 AS l_suppkey, CAST(1 AS INT) AS l_linenumber, DATE '2024-01-01' "
+                          "AS l_shipdate, CAST(id AS DOUBLE) AS l_quantity, CAST(id AS DOUBLE) AS l_extendedprice FROM range(1000)"}
+    for name, made in tables.items():
+        spark.sql(made).write.parquet(f"{tmp_path}/{name}.parquet")
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "1")      # as if all tables were large
+    try:
+        found = R.readings(spark, str(tmp_path))
+        assert "SortMergeJoin [l_suppkey" not in plan_of(found) and "BroadcastHashJoin [l_suppkey" in plan_of(found)
+        monkeypatch.setattr(R, "MOST_PLACES", 399)      # too many places to send around
+        dealt = R.readings(spark, str(tmp_path))
+        assert "SortMergeJoin [l_suppkey" in plan_of(dealt)
+        assert tuples(found) == tuples(dealt) and found.count() == 668
+    finally:
+        spark.conf.set(limit, before)
