@@ -4,6 +4,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from airlens import schema as S, shared
 from airlens.catalog import live
@@ -11,7 +12,7 @@ from airlens.operators import graph as G
 from airlens.plans.documents import load_documents
 from airlens.plans.graph import load_graph
 from airlens.sinks import read_graph, read_target, tables, write_validated
-from tests.helpers import tuples
+from tests.helpers import plan_of, tuples
 
 
 def written(folder, rows, tail=""):
@@ -128,6 +129,21 @@ def test_a_load_deals_readings_once_and_joins_no_table_with_the_store(spark, two
     assert new["reading"].count() == 0 and tuples(new["has_category"], "city", "aqi_category") == [("Paris", "Fair")] * 2
 
 
+def test_a_load_is_not_dealt_by_month_before_it_is_dealt_by_part(spark, two_loads, tmp_path, monkeypatch):
+    """The numbers of parts came as a table of unknown size, and all readings were shuffled by month to meet it."""
+    planned, add = [], DataFrame.repartition
+    monkeypatch.setattr(DataFrame, "repartition", lambda df, *by: planned.append(plan_of(df)) or add(df, *by))
+    rows = spark.read.schema(S.CLEAN).json(list(two_loads)).withColumn("event_date", F.to_date("event_date"))
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "1")      # as if the load were large
+    try:
+        G.build_graph(rows, S.CLEAN.names, stage=str(tmp_path / "stage"))
+    finally:
+        spark.conf.set(limit, before)
+    assert len(planned) == 1 and "Exchange hashpartitioning(stored_month" not in planned[0]
+
+
 def test_a_load_that_broke_off_is_repaired_by_its_repeat(spark, two_loads, tmp_path, monkeypatch):
     """Tables that hold different loads are compared one by one, until the broken batch has ended."""
     base, add = str(tmp_path / "graph"), tables._add_keyed
