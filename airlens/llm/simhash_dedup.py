@@ -209,9 +209,10 @@ def components(pairs: DataFrame) -> DataFrame:
     labels = cut(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label"))
                  .select("node", F.least("node", "label").alias("label")))
     while True:
-        around = (edges.join(labels.withColumnRenamed("node", "b"), "b")
-                  .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("_near")))
-        nearer = labels.join(around, "node").select("node", F.col("label").alias("_old"), F.least("label", "_near").alias("label"))
+        around = edges.join(labels.withColumnRenamed("node", "b"), "b").select(F.col("a").alias("node"), "label", F.lit(None).cast("long").alias("_old"))
+        # a node's own label is added up with those around it: a join of the two would double what the driver plans and holds in a round
+        nearer = (around.unionByName(labels.withColumn("_old", F.col("label"))).groupBy("node")
+                  .agg(F.min("label").alias("label"), F.min("_old").alias("_old")))
         jump = nearer.select(F.col("node").alias("label"), F.col("label").alias("_next"))
         new = cut(nearer.join(jump, "label").select("node", F.least("label", "_next").alias("label"), "_old"))
         if new.where("label <> _old").isEmpty():

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from airlens.llm import (attention_lm, decontaminate, host_rules, html_extract, license_scan, packing,
                          simhash_dedup, suffix_dedup, toxicity, warc)
+from tests.helpers import plan_of
 
 WORDS = "alpha beta gamma delta omega sigma kappa theta lambda rho tau phi chi psi".split()
 SHAPE = "doc_id long, text string, source string"
@@ -250,6 +251,17 @@ def test_allocation_is_least():
         assert total == pytest.approx(min(sum(c[u] for c, u in zip(costs, us)) for us in itertools.product(range(4), repeat=4) if sum(us) == 5))
 
 
+def test_components_join_labels_with_edges_and_themselves_only(spark, monkeypatch):
+    """A round on 211 partitions planned nine shuffles and five broadcasts, half of them for one join more."""
+    planned, cut = [], simhash_dedup.cut
+    monkeypatch.setattr(simhash_dedup, "cut", lambda df: planned.append(plan_of(df)) or cut(df))
+    chain, ring = [(k, k + 1) for k in range(-9, 40)], [(100, 101), (101, 102), (100, 102), (100, 101)]
+    found = simhash_dedup.components(spark.createDataFrame([*chain, *ring], "a long, b long"))
+    assert {(r.node, r.label) for r in found.collect()} == {(k, -9) for k in range(-9, 41)} | {(k, 100) for k in (100, 101, 102)}
+    assert len(planned) > 3 and all(p.count("Join [") <= 3 and p.count("Exchange ") <= 7 for p in planned)
+    assert simhash_dedup.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
 def test_simhash_plan_does_not_follow_the_table():
     """As many rows per fingerprint at any size, where parts agree as often."""
     r = np.random.default_rng(3)
