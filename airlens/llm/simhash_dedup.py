@@ -22,7 +22,7 @@ import math
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from airlens.llm.common import cut
+from airlens.llm.common import broadcast_if_small, cut
 
 SHINGLE = 4
 SEED = 42
@@ -34,6 +34,10 @@ PROBE_COST = 4.0
 #: fingerprints the plan is made for, whatever the table's size: rows per fingerprint do not change as a table grows
 PLANNED = 10_000_000
 STEP = 200_000
+#: links, in both directions, up to which the labels of their ends are broadcast (about 40 bytes each); beyond it joins are by shuffle
+MOST_BROADCAST = 200_000
+#: links a task of a round gets, and how many tasks there are where that leaves less: few links are not dealt over all partitions again and again
+TASK_LINKS, LEAST_TASKS = 100_000, 8
 
 
 def fingerprint(text: str | None) -> int:
@@ -203,18 +207,22 @@ def components(pairs: DataFrame) -> DataFrame:
     """``node, label``: the smallest node reachable from each node of ``a, b``.
 
     Rounds of taking the smallest label of the neighbours, then the label of the label, until none changes;
-    every round is checkpointed. Only a count comes to the driver.
+    every round is checkpointed. Only a count comes to the driver. Links are counted once, and rounds have tasks and broadcasts by that count.
     """
     edges = cut(pairs.select("a", "b").union(pairs.select("b", "a")))
-    labels = cut(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label"))
-                 .select("node", F.least("node", "label").alias("label")))
+    number = edges.count()
+    few = lambda df: df.coalesce(max(LEAST_TASKS, number // TASK_LINKS))
+    small = lambda df: broadcast_if_small(df, number, MOST_BROADCAST)
+    edges = few(edges)
+    labels = cut(few(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label"))
+                     .select("node", F.least("node", "label").alias("label"))))
     while True:
-        around = edges.join(labels.withColumnRenamed("node", "b"), "b").select(F.col("a").alias("node"), "label", F.lit(None).cast("long").alias("_old"))
+        around = edges.join(small(labels.withColumnRenamed("node", "b")), "b").select(F.col("a").alias("node"), "label", F.lit(None).cast("long").alias("_old"))
         # a node's own label is added up with those around it: a join of the two would double what the driver plans and holds in a round
         nearer = (around.unionByName(labels.withColumn("_old", F.col("label"))).groupBy("node")
                   .agg(F.min("label").alias("label"), F.min("_old").alias("_old")))
         jump = nearer.select(F.col("node").alias("label"), F.col("label").alias("_next"))
-        new = cut(nearer.join(jump, "label").select("node", F.least("label", "_next").alias("label"), "_old"))
+        new = cut(few(nearer.join(small(jump), "label")).select("node", F.least("label", "_next").alias("label"), "_old"))
         if new.where("label <> _old").isEmpty():
             return new.select("node", "label")
         labels = new.select("node", "label")

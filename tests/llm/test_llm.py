@@ -262,6 +262,25 @@ def test_components_join_labels_with_edges_and_themselves_only(spark, monkeypatc
     assert simhash_dedup.components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_components_deal_few_links_over_few_tasks(spark, monkeypatch):
+    """Rounds over few links had as many tasks in every stage as the session has shuffle partitions; joins by shuffle find the same."""
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pairs = spark.createDataFrame([*[(k, k + 1) for k in range(20)], (50, 60), (50, 70)], "a long, b long")
+        expected = {(k, 0) for k in range(21)} | {(50, 50), (60, 50), (70, 50)}
+        for most in (simhash_dedup.MOST_BROADCAST, 1):
+            dealt, cut = [], simhash_dedup.cut
+            with monkeypatch.context() as m:
+                m.setattr(simhash_dedup, "MOST_BROADCAST", most)
+                m.setattr(simhash_dedup, "cut", lambda df, cut=cut, dealt=dealt: (out := cut(df), dealt.append(out.rdd.getNumPartitions()))[0])
+                assert {(r.node, r.label) for r in simhash_dedup.components(pairs).collect()} == expected
+            assert len(dealt) > 3 and max(dealt[1:]) <= simhash_dedup.LEAST_TASKS
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_simhash_plan_does_not_follow_the_table():
     """As many rows per fingerprint at any size, where parts agree as often."""
     r = np.random.default_rng(3)
