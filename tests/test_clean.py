@@ -211,3 +211,21 @@ def test_places_of_few_values_have_few_bands_and_exact_medians(spark):
     assert values.select(impute._band(F.col("v")).alias("b")).distinct().count() <= 100
     found = impute.level_medians(values, ["v"])
     assert {r["level"]: r["median"] for r in found.collect()} == {0: 250.0, 1: 250.0, 2: 250.0}
+
+
+@pytest.mark.parametrize("most, join", [(1000, "BroadcastHashJoin"), (0, "SortMergeJoin")])
+def test_medians_of_few_places_are_broadcast_to_their_rows(spark, monkeypatch, most, join):
+    """Beyond ten megabytes of medians all rows were dealt and sorted by place, once for the medians and once for the result."""
+    monkeypatch.setattr(impute, "MOST_PLACES", most)
+    rows = [(f"c{i % 7}" if i % 11 else None, f"x{i % 50}" if i % 13 else None, float(i % 97) if i % 5 else None) for i in range(600)]
+    df = spark.createDataFrame(rows, "country string, city string, wind_ms double")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        filled = impute.impute_median(df)
+        assert plan_of(filled).count(join) == 2
+        got = filled.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    known = lambda *at: brute_median([v for c, x, v in rows if (c, x)[:len(at)] == at])
+    want = [(c, x, next(m for m in (v, known(c, x) if c and x else None, known(c) if c else None, known()) if m is not None)) for c, x, v in rows]
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
