@@ -45,6 +45,10 @@ def fill_city(df: DataFrame, lookup: DataFrame | Mapping = C.COUNTRY_TO_CITY) ->
 # ---------------------------------------------------------------------------
 # Missing dates
 # ---------------------------------------------------------------------------
+#: rows of a part, about
+PART_ROWS = 100_000
+
+
 def date_edges(dealt: DataFrame) -> DataFrame:
     """What lies around each place's rows in each part: ``_key, _part, _offset, _carry, _ahead``.
 
@@ -78,8 +82,11 @@ def deal_dates(df: DataFrame, order_by: Sequence[str], keys: Sequence[str], path
     """
     spark = df.sparkSession
     narrow = df.select(F.struct(*keys).alias("_key"), *dict.fromkeys(order_by), "ts")   # a struct is never NULL, so NULL places group and join
-    ranges = ["_key", *order_by] if partitions is None else [partitions, "_key", *order_by]
-    dealt = materialized(narrow.repartitionByRange(*ranges).withColumn("_part", F.spark_partition_id()), path)
+    if partitions is not None:      # a task sorts a part or a few: as many parts as asked for may be too few for a larger table
+        partitions = max(partitions, -(-narrow.count() // PART_ROWS))
+    number = [] if partitions is None else [partitions]
+    dealt = materialized(narrow.repartitionByRange(*number, "_key", *order_by).withColumn("_part", F.spark_partition_id()), path)
+    dealt = dealt.repartition(*number, "_key", "_part")     # with a number, tasks are not put together again
     order = W.partitionBy("_key", "_part").orderBy(*order_by)
     return dealt.withColumn("_pos", F.row_number().over(order).cast("long"))
 
@@ -97,9 +104,9 @@ def fill_missing_date(
     one day per row in between; if there is none, the nearest later one, minus one day per row. Filled values are midnights.
 
     A place may hold a large share of all rows, so no task ever sees a whole place: rows are dealt by ranges (``partitions``
-    of them, by default the session's shuffle partitions), windows run inside a place and part, and dates are carried from
-    part to part by :func:`date_edges`. Only places, order columns and dates are sorted; the dates found, for rows without one alone, are then
-    joined to the whole rows. The ranges are written under ``stage`` (default: a new folder in the shared one), which the result reads.
+    of them at least, and so many that about :data:`PART_ROWS` rows are in one; by default the session's shuffle partitions), windows run inside a place and part, and dates are carried from
+    part to part by :func:`date_edges`. Only places, order columns and dates are sorted; the dates found are then joined to the whole rows
+    without one, and no other row is dealt for it. ``df`` is read for the ranges and again for the rows. The ranges are written under ``stage`` (default: a new folder in the shared one), which the result reads.
     """
     dealt = deal_dates(df, order_by, keys, stage or scratch_path(df.sparkSession, "dates"), partitions)
     here = F.when(F.col("ts").isNotNull(), F.struct("_pos", "ts"))
@@ -113,8 +120,8 @@ def fill_missing_date(
         F.to_date(found.getField("ts")), (at - found.getField("_pos")).cast("int")).cast("timestamp")
     prev, later = F.coalesce(_moved("_prev"), "_carry"), F.coalesce(_moved("_next"), "_ahead")
     found = gaps.select("_key", *dict.fromkeys(order_by), F.coalesce(away(prev), away(later)).alias("_filled"))
-    filled = df.withColumn("_key", F.struct(*keys)).join(found, ["_key", *dict.fromkeys(order_by)], "left")
-    return filled.withColumn("ts", F.coalesce("ts", "_filled")).select(*df.columns)
+    missing = df.where(F.col("ts").isNull()).withColumn("_key", F.struct(*keys)).join(found, ["_key", *dict.fromkeys(order_by)], "left")
+    return df.where(F.col("ts").isNotNull()).unionByName(missing.withColumn("ts", F.col("_filled")).select(*df.columns))
 
 
 # ---------------------------------------------------------------------------

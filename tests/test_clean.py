@@ -229,3 +229,16 @@ def test_medians_of_few_places_are_broadcast_to_their_rows(spark, monkeypatch, m
     known = lambda *at: brute_median([v for c, x, v in rows if (c, x)[:len(at)] == at])
     want = [(c, x, next(m for m in (v, known(c, x) if c and x else None, known(c) if c else None, known()) if m is not None)) for c, x, v in rows]
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+
+
+def test_dates_deal_only_rows_without_one_and_parts_stay_small(spark, monkeypatch):
+    """Rows with a date were dealt and sorted for a join that changes nothing in them, and 2 parts held all rows of any table."""
+    monkeypatch.setattr(clean, "PART_ROWS", 40)
+    rows = [(i, "X", "hot" if i % 3 else "y", at("2024-01-01") + timedelta(days=i) if i % 9 else None, "text" * 5) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, country string, city string, ts timestamp, note string")
+    path = f"{spark.conf.get('spark.checkpoint.dir')}/small-parts"
+    filled = clean.fill_missing_date(df, ["id"], partitions=2, stage=path)
+    assert {r["id"]: r["ts"] for r in filled.collect()} == brute_fill([r[:4] for r in rows])
+    parts = spark.read.parquet(path).groupBy("_part").count().collect()
+    assert len(parts) == 8 and max(r["count"] for r in parts) < 90
+    assert plan_of(filled.where("ts IS NOT NULL AND note IS NOT NULL").select("id", "note")).count("Union") == 1
