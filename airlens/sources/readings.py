@@ -28,14 +28,19 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("s_suppkey", F.col("s_name").alias("city"), F.expr(_COUNTRY).alias("country"))
 
 
+def _small(spark: SparkSession, sf_dir: str, table_of_places: DataFrame) -> DataFrame:
+    """A table with a row per place at most, to be broadcast if places are few. They are counted, which reads no column."""
+    return F.broadcast(table_of_places) if table(spark, sf_dir, "supplier").count() <= MOST_PLACES else table_of_places
+
+
 def city_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """city -> country, one row per city."""
-    return places(spark, sf_dir).groupBy("city").agg(F.min("country").alias("country"))
+    return _small(spark, sf_dir, places(spark, sf_dir).groupBy("city").agg(F.min("country").alias("country")))
 
 
 def country_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """country -> its first city by name."""
-    return places(spark, sf_dir).groupBy("country").agg(F.min("city").alias("city"))
+    return _small(spark, sf_dir, places(spark, sf_dir).groupBy("country").agg(F.min("city").alias("city")))
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,9 +50,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     places are few. They are counted, which reads no column, and broadcast.
     """
     gap = lambda rule, value: F.expr(f"CASE WHEN {rule} THEN NULL ELSE {value} END")
-    place = places(spark, sf_dir).withColumnsRenamed({"city": "_city", "country": "_country"})
-    if table(spark, sf_dir, "supplier").count() <= MOST_PLACES:
-        place = F.broadcast(place)
+    place = _small(spark, sf_dir, places(spark, sf_dir).withColumnsRenamed({"city": "_city", "country": "_country"}))
     return table(spark, sf_dir, "lineitem").join(
         place, F.col("l_suppkey") == F.col("s_suppkey")
     ).select(
