@@ -1,6 +1,7 @@
 """Named queries against their checking SQL on the smallest tables, where these are at hand."""
 
 import os
+import time
 
 import duckdb
 import pytest
@@ -67,3 +68,19 @@ def test_table_queries_start_with_many_partitions_unless_the_session_says_otherw
     assert other.conf.get(start) == "7"
     tune(other, tables=True)
     assert other.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("RocksDBStateStoreProvider")
+
+
+def test_shuffle_files_go_with_their_execution(spark, tmp_path):
+    """Those of all loads of a query, or all turns of a stream, lay on the disk until it ended."""
+    other = tune(spark.newSession(), tables=True)
+    stored = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f for f in stored.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+    before = files()
+    for turn in range(3):
+        other.range(1000).repartition(7, "id").write.parquet(str(tmp_path / str(turn)))
+    deadline = time.time() + 20
+    while files() - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not files() - before
+    tune(other)
+    assert other.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) in (None, "false")
